@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.ageing import CREDIT_ROW, JOURNAL_ROW, bucket_columns
 from tallyspark.functions.dates import AsOf, as_of_column
-from tallyspark.operators.joins import skew_join
+from tallyspark.operators.joins import APART, apart, per_key
 
 # Codes of detail lines and transaction headers, the account type of payables, and the party of journal
 # lines that name none.
@@ -39,25 +39,28 @@ def _credit_lines(details: DataFrame) -> DataFrame:
     return details.filter(F.col("TransactionType") == CREDIT_LINE)
 
 
-def _credit_lines_by_bill(details: DataFrame, on_multiple: str) -> DataFrame:
-    """Per bill: credited amount, and the credit account that stands in for a missing payable account."""
-    account = F.max("CreditAccountID")
-    if on_multiple == "error":
-        account = F.when(F.count(F.lit(1)) <= 1, account).otherwise(
-            F.raise_error(F.lit("more than one credit line for a bill without a payable account"))
-        )
-    elif on_multiple != "max":
-        raise ValueError(f"on_multiple must be max or error, not {on_multiple!r}")
+def _credit_lines_by_bill(details: DataFrame) -> DataFrame:
+    """Per bill: credited amount, number of credit lines, and the greatest of their credit accounts."""
     return (
         _credit_lines(details)
         .filter(F.col("VendorBillID").isNotNull())
         .groupBy("VendorBillID")
-        .agg(F.sum("CreditAmount").alias("_credited"), account.alias("_line_account"))
+        .agg(
+            F.sum("CreditAmount").alias("_credited"),
+            F.count(F.lit(1)).alias("_credit_lines"),
+            F.max("CreditAccountID").alias("_line_account"),
+        )
     )
 
 
-def _ap_account() -> Column:
-    return F.when(F.col("APAccountID").isNull(), F.col("_line_account")).otherwise(F.col("APAccountID"))
+def _ap_account(on_multiple: str) -> Column:
+    own, fallback = F.col("APAccountID"), F.col("_line_account")
+    if on_multiple == "error":
+        message = F.concat(F.lit("more than one credit line for bill "), F.col("VendorBillID"))
+        fallback = F.when(F.col("_credit_lines") > 1, F.raise_error(message)).otherwise(fallback)
+    elif on_multiple != "max":
+        raise ValueError(f"on_multiple must be max or error, not {on_multiple!r}")
+    return F.when(own.isNull(), fallback).otherwise(own)
 
 
 def ap_account(bills: DataFrame, details: DataFrame, on_multiple: str = "max") -> DataFrame:
@@ -66,8 +69,8 @@ def ap_account(bills: DataFrame, details: DataFrame, on_multiple: str = "max") -
     ``on_multiple`` says what a bill without an account and with several credit lines gets: the greatest account, or
     an ``error``.
     """
-    lines = _credit_lines_by_bill(details, on_multiple)
-    return bills.join(lines, "VendorBillID", "left").select(*bills.columns, _ap_account().alias("APAccount"))
+    lines = _credit_lines_by_bill(details)
+    return bills.join(lines, "VendorBillID", "left").select(*bills.columns, _ap_account(on_multiple).alias("APAccount"))
 
 
 def billed(bills: DataFrame, details: DataFrame, as_of: AsOf = None, on_multiple: str = "max") -> DataFrame:
@@ -76,14 +79,14 @@ def billed(bills: DataFrame, details: DataFrame, as_of: AsOf = None, on_multiple
     Credit lines are summed per bill before the join, so a bill with very many lines is one row when it moves.
     """
     dated = bills.filter(F.col("BillDate") <= as_of_column(as_of))
-    lines = _credit_lines_by_bill(details, on_multiple)
+    lines = _credit_lines_by_bill(details)
     return (
         dated.join(lines, "VendorBillID")
-        .groupBy(*BILL_COLUMNS, "_line_account")
+        .groupBy(*BILL_COLUMNS, "_line_account", "_credit_lines")
         .agg(F.sum("_credited").alias("Billed"))
         .select(
             "VendorBillID",
-            _ap_account().alias("APAccount"),
+            _ap_account(on_multiple).alias("APAccount"),
             F.col("VendorID").alias("PayeeID"),
             "BillDate",
             "BillDueDate",
@@ -111,20 +114,18 @@ def _settled_by_bill(
         F.when(payment, F.coalesce(F.col("DebitAmount"), F.lit(0))).otherwise(F.col("DebitAmount")).alias("_paid"),
     )
 
-    headers = txns.select("APTransactionID", F.lit(1).alias("_header"), F.lit(0).alias("_check"))
-    counted = headers
+    counted = txns.select("APTransactionID", F.lit(1).alias("_header"), F.lit(0).alias("_check"))
     if not dedupe_checks:
         dated_checks = checks.filter(F.col("CheckDate") <= as_of_column(as_of))
-        counted = headers.union(dated_checks.select("APTransactionID", F.lit(0), F.lit(1)))
-    times = (
-        counted.filter(F.col("APTransactionID").isNotNull())
-        .groupBy("APTransactionID")
-        .agg(F.sum("_header").alias("_headers"), F.sum("_check").alias("_checks"))
-        .filter(F.col("_headers") > 0)
-        .select("APTransactionID", (F.col("_headers") * F.greatest(F.col("_checks"), F.lit(1))).alias("_times"))
-    )
+        counted = counted.union(dated_checks.select("APTransactionID", F.lit(0), F.lit(1)))
+    times = per_key(
+        counted,
+        ["APTransactionID"],
+        F.sum("_header").alias("_headers"),
+        (F.sum("_header") * F.greatest(F.sum("_check"), F.lit(1))).alias("_times"),
+    ).filter(F.col("_headers") > 0)
     return (
-        skew_join(lines, times, ["APTransactionID"])
+        lines.join(times, "APTransactionID")
         .groupBy("VendorBillID")
         .agg(F.sum(F.col("_paid") * F.col("_times")).alias("_settled"))
     )
@@ -212,13 +213,14 @@ def bill_positions(
     Lines and settlements arrive already grouped by bill, so the bills move to them once and the final grouping needs
     no further shuffle; payments and discounts share one scan and one join to their transactions.
     """
-    lines = _credit_lines_by_bill(details, on_multiple).withColumn("_has_lines", F.lit(True))
+    lines = _credit_lines_by_bill(details).withColumn("_has_lines", F.lit(True))
     settled = _settled_by_bill(details, txns, checks, as_of, ("payment", "discount"), dedupe_checks).withColumn(
         "_has_settled", F.lit(True)
     )
-    vendors = employee.groupBy("EmployeeID").agg(F.count(F.lit(1)).alias("_vendor_rows"))
-    vendors = vendors.withColumnRenamed("EmployeeID", "VendorID")
-    known = bills.select(*BILL_COLUMNS).transform(lambda b: skew_join(b, vendors, ["VendorID"], "left"))
+    vendors = per_key(
+        employee.select(F.col("EmployeeID").alias("VendorID")), ["VendorID"], F.count(F.lit(1)).alias("_vendor_rows")
+    )
+    known = bills.select(*BILL_COLUMNS).join(vendors, "VendorID", "left")
 
     is_billed = F.coalesce(F.col("_has_lines"), F.lit(False)) & (F.col("BillDate") <= as_of_column(as_of))
     is_settled = F.coalesce(F.col("_has_settled"), F.lit(False)) & F.col("_vendor_rows").isNotNull()
@@ -229,7 +231,7 @@ def bill_positions(
         .filter(F.col("_billed") | F.col("_paying"))
         .groupBy("VendorBillID")
         .agg(
-            F.max(F.when(F.col("_billed"), _ap_account())).alias("APAccount"),
+            F.max(F.when(F.col("_billed"), _ap_account(on_multiple))).alias("APAccount"),
             F.max("VendorID").alias("PayeeID"),
             *[F.max(F.when(F.col("_billed"), F.col(c))).alias(c) for c in ("BillDate", "BillDueDate", "BillNumber")],
             F.sum(F.coalesce(F.when(F.col("_billed"), F.col("_credited")), F.lit(0))).alias("Billed"),
@@ -241,22 +243,27 @@ def bill_positions(
     )
 
 
-def _dated_credit_headers(txns: DataFrame) -> DataFrame:
+def _credit_headers(txns: DataFrame) -> DataFrame:
     return txns.filter(F.col("TransactionType") == VENDOR_CREDIT_HEADER)
 
 
-def _dated_credit_lines(details: DataFrame, as_of: AsOf) -> DataFrame:
-    """Credit lines up to ``as_of``, counted per transaction: a credit use is repeated once per line."""
-    return (
-        _credit_lines(details)
-        .filter((F.col("TransactionDate") <= as_of_column(as_of)) & F.col("ApTransactionID").isNotNull())
-        .groupBy(F.col("ApTransactionID").alias("APTransactionID"))
+def _dated_credits(txns: DataFrame, details: DataFrame, as_of: AsOf) -> DataFrame:
+    """Credits with the number, latest date and reference of their credit lines up to ``as_of``.
+
+    A use of a credit is repeated once per line, so the number is all that is needed of them.
+    """
+    lines = _credit_lines(details).filter(F.col("TransactionDate") <= as_of_column(as_of))
+    per_credit = (
+        apart(lines.select(F.col("ApTransactionID").alias("APTransactionID"), "TransactionDate", "Ref"), "APTransactionID")
+        .groupBy("APTransactionID", APART)
         .agg(
             F.count(F.lit(1)).alias("_lines"),
             F.max("TransactionDate").alias("_line_date"),
             F.max("Ref").alias("_line_ref"),
         )
     )
+    headers = _credit_headers(txns).select("APTransactionID", "PayeeID", "TransactionAmount")
+    return apart(headers, "APTransactionID").join(per_credit, ["APTransactionID", APART]).drop(APART)
 
 
 def _dated_uses(uses: DataFrame, as_of: AsOf) -> DataFrame:
@@ -266,21 +273,16 @@ def _dated_uses(uses: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def applied_credit(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Per (bill, payee, credit) the credit really drawn: uses joined to their credit, one row per pair and credit.
+    """The credit really drawn: one row per (credit, bill) with the number and amount of its uses and its credit.
 
-    Uses are summed per (credit, bill) first; a credit drawn by very many bills is spread over tasks in the join.
+    Uses are summed per (credit, bill) before the join, in which a credit drawn by very many bills can be split.
     """
-    credits = (
-        _dated_credit_headers(txns)
-        .select("APTransactionID", "PayeeID", "TransactionAmount")
-        .join(_dated_credit_lines(details, as_of), "APTransactionID")
-    )
     drawn = (
         _dated_uses(uses, as_of)
         .groupBy("APTransactionID", "VendorBillID")
         .agg(F.count(F.lit(1)).alias("_uses"), F.sum("Amount").alias("_drawn"))
     )
-    return skew_join(drawn, credits, ["APTransactionID"])
+    return drawn.join(_dated_credits(txns, details, as_of), "APTransactionID")
 
 
 def credit_used(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -290,11 +292,10 @@ def credit_used(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: AsO
     use form the group with a NULL bill.
     """
     joined = applied_credit(txns, details, uses, as_of)
+    drawn_ids = _dated_uses(uses, as_of).select("APTransactionID").distinct()
     idle = (
-        _dated_credit_headers(txns)
-        .select("APTransactionID", "PayeeID", "TransactionAmount")
-        .join(_dated_uses(uses, as_of).select("APTransactionID").distinct(), "APTransactionID", "left_anti")
-        .join(_dated_credit_lines(details, as_of), "APTransactionID")
+        _dated_credits(txns, details, as_of)
+        .join(drawn_ids, "APTransactionID", "left_anti")
         .withColumn("_uses", F.lit(1).cast("long"))
     )
     copies = F.col("_lines") * F.col("_uses")
@@ -337,7 +338,7 @@ def vendor_credit(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: A
     )
     dated = F.coalesce(F.col("TransactionDate") <= as_of_column(as_of), F.lit(False))
     return (
-        _dated_credit_headers(txns)
+        _credit_headers(txns)
         .join(used, "APTransactionID", "left")
         .filter(dated | F.col("_used").isNotNull())
         .groupBy("PayeeID", "ParentAccountID")

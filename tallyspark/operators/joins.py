@@ -1,96 +1,31 @@
-"""Join helpers that hold up when one key carries a large share of the rows."""
+"""Join helpers that hold up when one key carries a large share of the rows.
 
-from __future__ import annotations
+Adaptive execution splits the partition of a hot key by itself, as long as both sides of the join come straight from
+shuffles made for it. An aggregate on the join key does not: its rows already lie where the join wants them, so no
+shuffle is added and nothing can be split. The helpers here build such sides apart from their key.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_SPLIT = 1_000_000
-# Number of most frequent keys looked at. A key outside them holds less than 1/HOT_KEYS of all rows, which is no more
-# than an ordinary task's share, and the broadcast list of hot keys can never exceed HOT_KEYS rows.
-HOT_KEYS = 10_000
-_TRACKED = 10 * HOT_KEYS
-# Rows with a NULL key match nothing; they are dealt out over this many tasks.
-_NULL_KEY_SPREAD = 1_024
-
 
-def _key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+APART = "_apart"
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Hashes of the keys above ``rows_per_split`` rows, with the number of tasks each should be spread over.
+def apart(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with a column to group or join by beside the keys.
 
-    One pass with a mergeable frequency sketch and no shuffle of keys. The sketch only steers the spreading, so its
-    approximation never changes a result.
+    The column is always false, which the planner cannot know. It changes no group, but leaves the result partitioned
+    by more than the keys, so that a later join on the keys alone shuffles it. That second shuffle moves one row per
+    key; in return a hot key on the other side is split.
     """
-    present = df.select(*keys).dropna()
-    sketch = F.expr(f"approx_top_k(_key_hash, {HOT_KEYS}, {_TRACKED})")
-    top = present.select(_key_hash(keys).alias("_key_hash")).agg(sketch.alias("top"))
-    return (
-        top.select(F.explode("top").alias("t"))
-        .filter(F.col("t.count") > rows_per_split)
-        .select(
-            F.col("t.item").alias("_key_hash"),
-            F.ceil(F.col("t.count") / F.lit(rows_per_split)).cast("int").alias("_splits"),
-        )
-    )
-
-
-def _has_collation(df: DataFrame, keys: list[str]) -> bool:
-    types = [df.schema[k].dataType for k in keys]
-    return any(isinstance(t, T.StringType) and t.collation != "UTF8_BINARY" for t in types)
-
-
-def skew_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Join ``big`` to ``small`` (one row per key, or few) with hot keys of ``big`` spread over many tasks.
-
-    Use it where ``small`` is an aggregate on the join key: such a side is not a plain shuffle, so adaptive execution
-    cannot split the skewed partition by itself. ``how`` is ``inner`` or ``left``.
-
-    The split number comes from the row's other columns and its partition number. Both are the same when a lost task
-    is run again, and exact copies of a row in different partitions still part ways.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"how must be inner or left, not {how!r}")
-    small = small.withColumns({k: F.col(k).cast(big.schema[k].dataType) for k in keys})
-    if _has_collation(big, keys):
-        # Equal keys may hash apart under a collation, so they cannot be matched by hash.
-        return big.join(small, keys, how)
-
-    hot = hot_keys(big, keys, rows_per_split)
-    others = [F.col(c) for c in big.columns if c not in keys]
-    spread = (F.xxhash64(*others) if others else F.lit(0).cast("long")) + F.spark_partition_id()
-    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-
-    left = big.withColumn("_key_hash", _key_hash(keys)).join(F.broadcast(hot), "_key_hash", "left")
-    left = left.withColumn(
-        "_split",
-        F.when(no_key, F.pmod(spread, F.lit(_NULL_KEY_SPREAD)))
-        .when(F.col("_splits").isNotNull(), F.pmod(spread, F.col("_splits")))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    ).drop("_key_hash", "_splits")
-    right = small.withColumn("_key_hash", _key_hash(keys)).join(F.broadcast(hot), "_key_hash", "left")
-    right = right.withColumn(
-        "_split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
-    ).drop("_key_hash", "_splits")
-    return left.join(right, [*keys, "_split"], how).drop("_split")
+    return df.withColumn(APART, F.length(F.col(keys[0]).cast("string")) < 0)
 
 
-def one_row_per_key(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """Lookup with one row per non-NULL key; of several values the least is kept."""
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(alias))
+def per_key(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """One row per non-NULL key, to be the small side of a join whose other side may have hot keys."""
+    return apart(df.dropna(subset=keys), *keys).groupBy(*keys, APART).agg(*aggregates).drop(APART)
 
 
 def not_in(df: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:

@@ -279,7 +279,8 @@ def generate_journals(final: DataFrame, as_of: AsOf, kind: str = "monthly", upda
 def replace_batch(existing: DataFrame, new: DataFrame, tags: Column | list[str]) -> DataFrame:
     """``existing`` without the rows of the tagged batches, followed by ``new``.
 
-    The old rows go even if a batch comes out empty this time; rows without a tag stay.
+    The old rows go even if a batch comes out empty this time; rows without a tag stay. To store the result of a large
+    ledger use ``sinks.replace_batches``, which leaves all other rows where they are.
     """
     old = F.col("LastUpdatedBy").isin(tags) if isinstance(tags, list) else F.array_contains(tags, F.col("LastUpdatedBy"))
     return existing.filter(~F.coalesce(old, F.lit(False))).unionByName(new, allowMissingColumns=True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.labels import clean_label, signed_balance
-from tallyspark.operators.joins import one_row_per_key, skew_join
+from tallyspark.operators.joins import per_key
 from tallyspark.operators.trial_balance import ACCRUAL, CASH
 
 HYBRID = "Hybrid"
@@ -36,12 +36,15 @@ def map_accounts(extract: DataFrame, qb_accounts: DataFrame, accounts: DataFrame
     The two lookups are chained among themselves first, so the extract moves once. A name or link listed more than
     once gives its least id.
     """
-    links = one_row_per_key(accounts, "QBLinkID", "AccountID", "AccountID").withColumnRenamed("QBLinkID", "qblinkid")
-    lookup = one_row_per_key(qb_accounts, "FullName", "ListID", "qblinkid").join(links, "qblinkid", "left")
-    lookup = lookup.withColumnRenamed("FullName", "_name")
+    links = per_key(
+        accounts.select(F.col("QBLinkID").alias("qblinkid"), "AccountID"),
+        ["qblinkid"],
+        F.min("AccountID").alias("AccountID"),
+    )
+    names = per_key(qb_accounts.select(F.col("FullName").alias("_name"), "ListID"), ["_name"], F.min("ListID").alias("qblinkid"))
+    lookup = names.join(links, "qblinkid", "left")
     rows = extract.drop("qblinkid", "AccountID").withColumn("_name", clean_label(LABEL))
-    mapped = skew_join(rows, lookup, ["_name"], "left")
-    return mapped.select(*[c for c in rows.columns if c != "_name"], "qblinkid", "AccountID")
+    return rows.join(lookup, "_name", "left").select(*[c for c in rows.columns if c != "_name"], "qblinkid", "AccountID")
 
 
 def unmapped(df: DataFrame) -> DataFrame:
@@ -69,14 +72,14 @@ def final_balance(extract: DataFrame, tb: DataFrame) -> DataFrame:
     """
     keys = ["basis", "AccountID"]
     ours = tb.filter(F.col("AccountID").isNotNull()).select(*keys, F.col("Balance").alias("_ledger"))
-    per_account = ours.groupBy(*keys).agg(F.min("_ledger").alias("_ledger"), F.lit(True).alias("_known"))
+    per_account = per_key(ours, keys, F.min("_ledger").alias("_ledger"), F.lit(True).alias("_known"))
     labelled = drop_blank_rows(extract.drop("FinalBalance"))
     difference = (
         F.when(F.col("AccountID").isNull(), F.lit(0))
         .when(F.col("_known"), F.col("Balance") - F.col("_ledger"))
         .otherwise(F.col("Balance"))
     )
-    compared = skew_join(labelled, per_account, keys, "left").select(
+    compared = labelled.join(per_account, keys, "left").select(
         *labelled.columns, difference.cast(MONEY).alias("FinalBalance")
     )
     seen = labelled.select(*keys).dropna().distinct()
@@ -96,15 +99,14 @@ def duplicates(df: DataFrame, *keys: str) -> DataFrame:
 def hybrid_flag(final: DataFrame) -> DataFrame:
     """``JournalType``: ``Hybrid`` where account and non-zero final balance agree in both bases, else NULL."""
     keys = ["AccountID", "FinalBalance"]
+    balances = final.filter(F.col("FinalBalance") != 0)
     pairs = (
-        final.filter((F.col("FinalBalance") != 0) & F.col("AccountID").isNotNull())
-        .groupBy(*keys)
-        .agg(F.min("basis").alias("_first"), F.max("basis").alias("_last"))
+        per_key(balances, keys, F.min("basis").alias("_first"), F.max("basis").alias("_last"))
         .filter(F.col("_first") != F.col("_last"))
         .select(*keys, F.lit(HYBRID).alias("JournalType"))
     )
     rows = final.drop("JournalType")
-    return skew_join(rows, pairs, keys, "left").select(*rows.columns, "JournalType")
+    return rows.join(pairs, keys, "left").select(*rows.columns, "JournalType")
 
 
 def suspect_links(df: DataFrame) -> DataFrame:

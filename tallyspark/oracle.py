@@ -579,7 +579,11 @@ mistyped as (
         f"""select {_m("sum(DebitAmount) - sum(CreditAmount)")} difference, ApTransactionID
         from ap_transaction_details group by ApTransactionID having sum(DebitAmount) - sum(CreditAmount) <> 0""",
     ),
-    "month_end": ([BALANCES, RECONCILE, JOURNALS], _left_over("reconciled", "rebuilt")),
+    "month_end": (
+        [BALANCES, RECONCILE, JOURNALS],
+        f"select basis, AccountID, {_m('Balance')} Balance from rebuilt",
+    ),
+    "month_end_left_over": ([BALANCES, RECONCILE, JOURNALS], _left_over("reconciled", "rebuilt")),
 }
 
 _LOADING = {

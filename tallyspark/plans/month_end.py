@@ -63,11 +63,9 @@ def book(tables: LedgerTables, made: journals.Journals) -> LedgerTables:
         "DebitAmount",
         "CreditAmount",
     )
-    replaced = {
-        "summary": tables.summary.unionByName(accrual),
-        "cash_details": tables.cash_details.unionByName(cash),
-    }
-    return LedgerTables(**{**vars(tables), **replaced})
+    return tables.replacing(
+        summary=tables.summary.unionByName(accrual), cash_details=tables.cash_details.unionByName(cash)
+    )
 
 
 def month_end(

@@ -448,6 +448,11 @@ def mig_unbalanced(t: LedgerTables) -> DataFrame:
 
 @_ledger_query
 def month_end(t: LedgerTables) -> DataFrame:
+    return month.month_end(t, AS_OF).rebuilt
+
+
+@_ledger_query
+def month_end_left_over(t: LedgerTables) -> DataFrame:
     return month.comparison(month.month_end(t, AS_OF))
 
 

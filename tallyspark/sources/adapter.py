@@ -154,16 +154,26 @@ VIEWS = {
 }
 
 
-def adapter_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A derived table over the Parquet files ``<folder>/<base table>.parquet``."""
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-    used = [n for n in (*BASE_TABLES, *VIEWS) if f"{{{n}}}" in VIEWS[name]]
-    return spark.sql(VIEWS[name], **{n: adapter_view(spark, folder, n) for n in used})
+class StarLedger:
+    """The derived tables over the Parquet files ``<folder>/<base table>.parquet``."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
+        self._folder = folder
+        self._built: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._built:
+            if name in BASE_TABLES:
+                self._built[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            else:
+                used = [n for n in (*BASE_TABLES, *VIEWS) if f"{{{n}}}" in VIEWS[name]]
+                self._built[name] = self._spark.sql(VIEWS[name], **{n: self.table(n) for n in used})
+        return self._built[name]
 
 
 def adapter_tables(spark: SparkSession, folder: str) -> LedgerTables:
-    return LedgerTables.load(lambda name: adapter_view(spark, folder, name))
+    return LedgerTables(StarLedger(spark, folder).table)
 
 
 def adapter_ctes() -> str:

@@ -24,3 +24,16 @@ def bulk_append(df: DataFrame, table: str) -> None:
 def bulk_append_path(df: DataFrame, path: str) -> None:
     """Append every row to a Parquet folder."""
     df.write.mode("append").parquet(path)
+
+
+def replace_batches(new: DataFrame, table: str, tags: list[str]) -> None:
+    """Drop the tagged batches of a table partitioned by ``LastUpdatedBy`` and append their new rows.
+
+    Only the partitions of the batches are touched, so the rest of a large ledger is neither read nor rewritten. A
+    batch that comes out empty is dropped all the same.
+    """
+    spark = new.sparkSession
+    for tag in tags:
+        quoted = tag.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (LastUpdatedBy = '{quoted}')")
+    bulk_append(new, table)

@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Stands in for the setting above in sessions without it, where it can no longer be set.
+_FALLBACK_DIR = "spark.tallyspark.staging.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; a new local one if it names none, as in tests."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(_FALLBACK_DIR, None)
     if not root:
         root = tempfile.mkdtemp(prefix="tallyspark-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        spark.conf.set(_FALLBACK_DIR, root)
     return root
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,31 +24,30 @@ TABLE_NAMES = {
 }
 
 
-@dataclass(frozen=True)
 class LedgerTables:
-    bills: DataFrame
-    txns: DataFrame
-    details: DataFrame
-    checks: DataFrame
-    credit_uses: DataFrame
-    employees: DataFrame
-    accounts: DataFrame
-    account_types: DataFrame
-    summary: DataFrame
-    cash_details: DataFrame
-    qb_accounts: DataFrame
-    extract_accrual: DataFrame
-    extract_cash: DataFrame
-
-    @classmethod
-    def load(cls, read: Callable[[str], DataFrame]) -> LedgerTables:
-        """Bundle from a function that reads a table by name."""
-        return cls(**{f.name: read(TABLE_NAMES[f.name]) for f in fields(cls)})
+    """Tables as attributes named by ``TABLE_NAMES``, each read when first asked for."""
+
+    def __init__(self, read: Callable[[str], DataFrame]) -> None:
+        self._read = read
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getattr__(self, part: str) -> DataFrame:
+        if part not in TABLE_NAMES:
+            raise AttributeError(part)
+        if part not in self._tables:
+            self._tables[part] = self._read(TABLE_NAMES[part])
+        return self._tables[part]
+
+    def replacing(self, **tables: DataFrame) -> LedgerTables:
+        """The same bundle with some tables exchanged."""
+        changed = LedgerTables(lambda name: getattr(self, next(p for p, n in TABLE_NAMES.items() if n == name)))
+        changed._tables = dict(tables)
+        return changed
 
 
 def read_catalog(spark: SparkSession, namespace: str) -> LedgerTables:
-    return LedgerTables.load(lambda name: spark.table(f"{namespace}.{name}"))
+    return LedgerTables(lambda name: spark.table(f"{namespace}.{name}"))
 
 
 def read_parquet(spark: SparkSession, root: str) -> LedgerTables:
-    return LedgerTables.load(lambda name: spark.read.parquet(f"{root}/{name}"))
+    return LedgerTables(lambda name: spark.read.parquet(f"{root}/{name}"))
