@@ -28,6 +28,11 @@ def per_key(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
     return apart(df.dropna(subset=keys), *keys).groupBy(*keys, APART).agg(*aggregates).drop(APART)
 
 
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """The non-NULL keys once each, to be the listed side of an anti join whose other side may have hot keys."""
+    return apart(df.select(*keys).dropna(), *keys).distinct().drop(APART)
+
+
 def not_in(df: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """Rows whose key is ``NOT IN`` the list, by SQL's NULL rules, at any list size.
 

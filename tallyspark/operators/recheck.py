@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators.joins import distinct_keys
 from tallyspark.operators.reconcile import MONEY
 
 KEYS = ["basis", "AccountID"]
@@ -23,7 +24,7 @@ def missing(left: DataFrame, right: DataFrame, trim: bool = False) -> DataFrame:
     """
     account = F.trim("AccountID") if trim else F.col("AccountID")
     rows = left.filter(F.col("AccountID").isNotNull() & (F.col("Balance") != 0)).withColumn("_account", account)
-    listed = right.select("basis", account.alias("_account")).dropna().distinct()
+    listed = distinct_keys(right.withColumn("_account", account), "basis", "_account")
     return rows.join(listed, ["basis", "_account"], "left_anti").select(*left.columns)
 
 

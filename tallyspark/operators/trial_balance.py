@@ -81,20 +81,20 @@ def trial_balance_cash(accounts: DataFrame, types: DataFrame, cash: DataFrame, a
 def with_plug(tb: DataFrame, account: str = PLUG_ACCOUNT) -> DataFrame:
     """The table with the plug account's balance set so that all balances sum to 0.
 
-    The plug row is added with zeros if missing. Its debit and credit stay as they are. Total and presence are one-row
-    subqueries over the account-level table.
+    The plug row is added if missing. Debit and credit of an existing one stay as they are. The total is a one-row
+    aggregate of the table, and needs the same columns in both its uses, so that the table's own shuffle is shared.
     """
     is_plug = F.col("AccountID") == account
-    zero_row = tb.sparkSession.range(1).select(
+    facts = tb.agg(F.coalesce(F.sum("Balance"), F.lit(0)).alias("total"), F.count_if(is_plug).alias("present"))
+    added = facts.filter(F.col("present") == 0).select(
         *[
-            F.lit(account if c == "AccountID" else 0).cast(tb.schema[c].dataType).alias(c)
+            {"AccountID": F.lit(account), "Balance": -F.col("total")}.get(c, F.lit(0)).cast(tb.schema[c].dataType).alias(c)
             for c in tb.columns
         ]
     )
-    present = tb.agg(F.count_if(is_plug)).scalar()
-    total = tb.agg(F.coalesce(F.sum("Balance"), F.lit(0))).scalar()
+    total = facts.select("total").scalar()
     balance = F.when(is_plug, F.col("Balance") - total).otherwise(F.col("Balance"))
-    return tb.unionByName(zero_row.filter(present == 0)).withColumn("Balance", balance)
+    return tb.withColumn("Balance", balance).unionByName(added)
 
 
 def zero_check(tb: DataFrame, *by: str) -> DataFrame:

@@ -43,7 +43,7 @@ def test_no_cross_join_no_unchecked_broadcast_no_window_over_data(spark, setting
 
 
 def test_trial_balance_moves_accounts_not_entries(spark, settings):
-    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__maxMetadataStringLength="10000")
     t = adapter_tables(spark, FOLDER)
     text = plan(trial_balance.trial_balance_accrual(t.accounts, t.account_types, t.summary, AS_OF))
     scan = next(line for line in text.splitlines() if "lineitem.parquet" in line)
@@ -71,7 +71,7 @@ def test_month_end_reads_stored_frames(spark):
     assert checks.count() == 10
 
 
-N, KEYS = 120_000, 4_000
+N, KEYS = 200_000, 5_000
 
 
 def text_id(prefix, column):
