@@ -16,49 +16,52 @@ ACCRUAL = "A"
 CASH = "C"
 
 
-def _totals_by_account(entries: DataFrame, account: str, date: str, as_of: AsOf) -> DataFrame:
-    """Per account, totals from the start of history and from the start of the year, in one scan.
+def _debit() -> Column:
+    return F.coalesce(F.col("DebitAmount"), F.lit(0))
 
-    Both lower bounds are known before any account is, so entries are summed in the map stage of a single shuffle
-    and only one row per account ever meets the account list. A busy account is therefore no heavier than a quiet one.
+
+def _credit() -> Column:
+    return F.coalesce(F.col("CreditAmount"), F.lit(0))
+
+
+def _trial_balance(
+    accounts: DataFrame,
+    types: DataFrame,
+    entries: DataFrame,
+    account: str,
+    date: str,
+    as_of: AsOf,
+    amounts: dict[str, Column],
+) -> DataFrame:
+    """Sums per account from its own start date up to ``as_of``.
+
+    Both possible start dates are known before any account is, so entries are first summed per account and side of each
+    date, in one scan and mostly in its own stage. At most three rows per account ever meet the account list, so a busy
+    account is no heavier than a quiet one.
     """
-    start = year_start(as_of)
-    history = F.lit(HISTORY_START)
-    when_dated = {"_all": F.col(date) >= history, "_ytd": F.col(date) >= start}
-    debit = F.coalesce(F.col("DebitAmount"), F.lit(0))
-    credit = F.coalesce(F.col("CreditAmount"), F.lit(0))
-    totals: list[Column] = []
-    for suffix, inside in when_dated.items():
-        totals += [
-            F.count_if(inside).alias(f"_rows{suffix}"),
-            F.sum(F.when(inside, debit)).alias(f"_debit{suffix}"),
-            F.sum(F.when(inside, credit)).alias(f"_credit{suffix}"),
-        ]
-    return (
+    start, history = year_start(as_of), F.lit(HISTORY_START)
+    totals = (
         entries.filter(
             F.col(account).isNotNull()
             & (F.col(date) >= F.least(start, history))
             & (F.col(date) <= as_of_column(as_of))
         )
-        .groupBy(F.col(account).alias("AccountID"))
-        .agg(*totals)
+        .groupBy(
+            F.col(account).alias("AccountID"),
+            (F.col(date) >= start).alias("_this_year"),
+            (F.col(date) >= history).alias("_in_history"),
+        )
+        .agg(*[F.sum(amount).alias(name) for name, amount in amounts.items()])
     )
-
-
-def _trial_balance(accounts: DataFrame, types: DataFrame, totals: DataFrame) -> DataFrame:
     kinds = accounts.join(types.select("AccountTypeID"), "AccountTypeID").select(
         "AccountID", F.col("AccountTypeID").isin(*PROFIT_AND_LOSS_TYPES).alias("_pl")
     )
-
-    def pick(name: str) -> Column:
-        return F.when(F.col("_pl"), F.col(f"{name}_ytd")).otherwise(F.col(f"{name}_all"))
-
     return (
         totals.join(kinds, "AccountID")
-        .filter(pick("_rows") > 0)
+        .filter(F.when(F.col("_pl"), F.col("_this_year")).otherwise(F.col("_in_history")))
         .groupBy("AccountID", "_pl")
-        .agg(F.sum(pick("_debit")).alias("DebitAmount"), F.sum(pick("_credit")).alias("CreditAmount"))
-        .select("AccountID", "DebitAmount", "CreditAmount", (F.col("DebitAmount") - F.col("CreditAmount")).alias("Balance"))
+        .agg(*[F.sum(name).alias(name) for name in amounts])
+        .drop("_pl")
     )
 
 
@@ -69,13 +72,14 @@ def trial_balance_accrual(accounts: DataFrame, types: DataFrame, summary: DataFr
     An account listed under both kinds of type has a row for each.
     """
     entries = summary.filter(F.col("MasterTransactionType") != CASH_ONLY_TYPE)
-    return _trial_balance(accounts, types, _totals_by_account(entries, "ThisAccountID", "TransactionDate", as_of))
+    amounts = {"DebitAmount": _debit(), "CreditAmount": _credit()}
+    sums = _trial_balance(accounts, types, entries, "ThisAccountID", "TransactionDate", as_of, amounts)
+    return sums.withColumn("Balance", F.col("DebitAmount") - F.col("CreditAmount"))
 
 
 def trial_balance_cash(accounts: DataFrame, types: DataFrame, cash: DataFrame, as_of: AsOf) -> DataFrame:
     """Balance per account on the cash basis, with the same date bounds and no type left out."""
-    totals = _totals_by_account(cash, "AccountID", "Date", as_of)
-    return _trial_balance(accounts, types, totals).select("AccountID", "Balance")
+    return _trial_balance(accounts, types, cash, "AccountID", "Date", as_of, {"Balance": _debit() - _credit()})
 
 
 def with_plug(tb: DataFrame, account: str = PLUG_ACCOUNT) -> DataFrame:
