@@ -143,7 +143,8 @@ def settlements(
 ) -> DataFrame:
     """Settled amount per bill of a known vendor. See ``payments`` and ``discounts``."""
     settled = _settled_by_bill(details, txns, checks, as_of, kinds, dedupe_checks)
-    payees = bills.join(employee.select(F.col("EmployeeID").alias("VendorID")), "VendorID").select("VendorBillID", "VendorID")
+    vendors = employee.select(F.col("EmployeeID").alias("VendorID"))
+    payees = bills.join(vendors, "VendorID").select("VendorBillID", "VendorID")
     return (
         payees.join(settled, "VendorBillID")
         .groupBy("VendorBillID")

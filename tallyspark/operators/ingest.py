@@ -89,14 +89,20 @@ def to_staging(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame
     Rows are range-sorted and stored once with their place inside their partition; a row's id is that place plus the
     sizes of the partitions before it. The stored copy keeps partition and place the same for counting and numbering,
     even if an executor is lost in between. The running total is over one row per partition, never over the data.
+
+    Rows alike in ``order_by`` are further sorted by a hash of their text and the partition they come from, so that
+    even a great many of them, copies included, spread over several ranges.
     """
     columns = [
         F.substring(F.col(f"`{c}`").cast("string"), 1, TEXT_WIDTH).alias(f"column{i}")
         for i, c in enumerate(df.columns[:n], start=1)
     ]
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    tied = df.withColumns({"_row": F.xxhash64(*columns), "_from": F.spark_partition_id()})
     stored = staged(
-        df.orderBy(*order_by).select(F.spark_partition_id().alias("_part"), position.alias("_place"), *columns),
+        tied.orderBy(*order_by, "_row", "_from").select(
+            F.spark_partition_id().alias("_part"), position.alias("_place"), *columns
+        ),
         "numbered_rows",
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -41,7 +41,9 @@ def map_accounts(extract: DataFrame, qb_accounts: DataFrame, accounts: DataFrame
         ["qblinkid"],
         F.min("AccountID").alias("AccountID"),
     )
-    names = per_key(qb_accounts.select(F.col("FullName").alias("_name"), "ListID"), ["_name"], F.min("ListID").alias("qblinkid"))
+    names = per_key(
+        qb_accounts.select(F.col("FullName").alias("_name"), "ListID"), ["_name"], F.min("ListID").alias("qblinkid")
+    )
     lookup = names.join(links, "qblinkid", "left")
     rows = extract.drop("qblinkid", "AccountID").withColumn("_name", clean_label(LABEL))
     return rows.join(lookup, "_name", "left").select(*[c for c in rows.columns if c != "_name"], "qblinkid", "AccountID")

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -89,6 +89,14 @@ def test_staging_ids_are_dense_and_ordered(spark, n):
     assert found == [(i, k, 255) for i, k in enumerate(keys, start=1)]
 
 
+def test_staging_spreads_rows_of_one_order_key(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    copies = spark.range(0, 4000, 1, 8).selectExpr("'same' as k", "'copy' as text")
+    result = ingest.to_staging(copies, 2, ["k"])
+    assert sorted(r.rowID for r in result.collect()) == list(range(1, 4001))
+    assert len([f for f in result.inputFiles() if "numbered_rows" in f]) > 4
+
+
 def test_bulk_append(spark):
     df = spark.createDataFrame([(1, "a")], "id int, name string")
     path = staging_path(spark, "rows")
@@ -145,4 +153,3 @@ def test_ledger_tables_are_read_when_asked_for(spark):
 
 def test_staging_root_comes_from_the_session(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert date(2001, 1, 1)
