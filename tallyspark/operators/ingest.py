@@ -83,9 +83,21 @@ def conform_frame(df: DataFrame) -> DataFrame:
     )
 
 
-def to_staging(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame:
+def _staged_text(column: Column, on_long: str) -> Column:
+    text = column.cast("string")
+    if on_long == "error":
+        message = F.concat(F.lit(f"text longer than {TEXT_WIDTH}: "), text)
+        return F.when(F.length(text) > TEXT_WIDTH, F.raise_error(message)).otherwise(text)
+    if on_long != "cut":
+        raise ValueError(f"on_long must be cut or error, not {on_long!r}")
+    return F.substring(text, 1, TEXT_WIDTH)
+
+
+def to_staging(df: DataFrame, n: int, order_by: list[str | Column], on_long: str = "cut") -> DataFrame:
     """``rowID`` from 1 without gaps in the given order, and the first ``n`` columns as text ``column1..n``.
 
+    The columns hold 255 characters; ``on_long`` says whether a longer text is ``cut`` or is an ``error``.
+
     Rows are range-sorted and stored once with their place inside their partition; a row's id is that place plus the
     sizes of the partitions before it. The stored copy keeps partition and place the same for counting and numbering,
     even if an executor is lost in between. The running total is over one row per partition, never over the data.
@@ -94,7 +106,7 @@ def to_staging(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame
     even a great many of them, copies included, spread over several ranges.
     """
     columns = [
-        F.substring(F.col(f"`{c}`").cast("string"), 1, TEXT_WIDTH).alias(f"column{i}")
+        _staged_text(F.col(f"`{c}`"), on_long).alias(f"column{i}")
         for i, c in enumerate(df.columns[:n], start=1)
     ]
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

@@ -465,7 +465,7 @@ _LEDGER: dict[str, tuple[list[str], str]] = {
             """
 mistyped as (
     select * replace (
-        case when cast(substring(AccountID, 2) as bigint) % 25 = 3 then QBLinkID else AccountID end as AccountID
+        case when AccountTypeID = 3 then QBLinkID else AccountID end as AccountID
     ) from account_list
 )""",
             _mapping("mapped_mistyped", "mistyped"),
@@ -560,13 +560,9 @@ mistyped as (
     ),
     "mig_missing_in_ledger": (
         [BALANCES, RECONCILE],
-        f"""select m.basis, m.AccountID, {_m("m.Balance")} Balance from mapped m
-        where m.basis = 'A' and m.Balance <> 0 and m.AccountID is not null and m.AccountID not in (
-            select s.ThisAccountID from transaction_summary s
-            join account_list a on a.AccountID = s.ThisAccountID
-            join account_type_list using (AccountTypeID)
-            where s.TransactionDate between {YEAR_START} and {AS_OF} and s.MasterTransactionType <> 46
-        )""",
+        f"""select basis, AccountID, {_m("Balance")} Balance from mapped m
+        where Balance <> 0 and AccountID is not null
+            and not exists (select 1 from tb where tb.basis <> m.basis and tb.AccountID = m.AccountID)""",
     ),
     "mig_missing_in_extract": (
         [BALANCES, RECONCILE],
@@ -593,12 +589,13 @@ _LOADING = {
         having count(*) > 1 or l_orderkey is null or l_linenumber is null""",
     "conform_frame": """select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as real) o_totalprice,
         cast(o_orderdate as timestamp) o_orderdate, o_orderpriority from orders""",
-    "staging_table": """select row_number() over (order by conv_id, turn) rowID, left(cast(conv_id as string), 255) column1,
-        left(cast(turn as string), 255) column2, left(role, 255) column3, left("text", 255) column4
+    "staging_table": """select row_number() over (order by conv_id, turn) rowID,
+        left(cast(conv_id as string), 255) column1, left(cast(turn as string), 255) column2, left(role, 255) column3, left("text", 255) column4
         from conversations""",
     "bulk_append": "select * from customer union all select * replace (-c_acctbal as c_acctbal) from customer",
-    "json_records": """select event_id, case when event_id % 10 <> 3 then cast(regexp_extract(props, '\\d+') as int) end k,
-        case when event_id % 10 = 3 then left(props, 4) end raw from events""",
+    "json_records": """select event_id,
+        case when event_type <> 'error' then cast(regexp_extract(props, '\\d+') as int) end k,
+        case when event_type = 'error' then replace(props, '}', '') end raw from events""",
 }
 
 ORACLES: dict[str, str] = {

@@ -89,6 +89,13 @@ def test_staging_ids_are_dense_and_ordered(spark, n):
     assert found == [(i, k, 255) for i, k in enumerate(keys, start=1)]
 
 
+def test_staging_may_refuse_long_text(spark):
+    df = spark.createDataFrame([("x" * 255,)], "text string")
+    assert ingest.to_staging(df, 1, ["text"], on_long="error").count() == 1
+    with pytest.raises(Exception, match="longer than 255"):
+        ingest.to_staging(df.selectExpr("text || 'y' as text"), 1, ["text"], on_long="error")
+
+
 def test_staging_spreads_rows_of_one_order_key(spark, settings):
     settings(spark__sql__adaptive__coalescePartitions__enabled="false")
     copies = spark.range(0, 4000, 1, 8).selectExpr("'same' as k", "'copy' as text")
