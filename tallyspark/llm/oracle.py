@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import quality
+from tallyspark.llm import quality, topk, url_filter
 
 _SPACE = r"[\x20\x09-\x0D]"
 # The words of a text, and a text's characters without those of a set.
-_WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), x -> x <> '')"
+_WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '')"
 _SYMBOLS = "[#*$%&|<>]"
 
 
@@ -22,7 +22,7 @@ def _rule(rule: quality.Rule) -> str:
 
 _QUALITY = rf"""with split as (
     select row_number() over () as k, doc_id, coalesce(text, '') as body, {_WORDS} as w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
     from documents
 ), windows as (
     select k, i, w[i:i + {quality.WINDOW - 1}] as v from (select k, w, unnest(range(1, len(w) - {quality.WINDOW - 2})) as i from split)
@@ -35,10 +35,65 @@ _QUALITY = rf"""with split as (
         (length(body) - length(regexp_replace(body, '{_SYMBOLS}', '', 'g')))::bigint as n_symbols,
         len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
         coalesce(covered.n, 0)::bigint as n_repeat_words,
-        len(list_filter(w, x -> list_contains({_list(quality.STOP_WORDS)}, x)))::bigint as n_stop_words
+        len(list_filter(w, lambda x: list_contains({_list(quality.STOP_WORDS)}, x)))::bigint as n_stop_words
     from split left join covered using (k)
 )
 select *, n_words < {quality.MIN_WORDS} or 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words as base_failed,
     not base_failed and {" and ".join(map(_rule, quality.RULES))} as kept from measured"""
 
-ORACLES = {"op2_quality_rules": _QUALITY}
+_TOP = f"""with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(x::double * {topk.SCALE})) as v from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as (
+    select q.vec_id as query_id, r.vec_id, list_inner_product(q.v, r.v)::bigint as score
+    from vectors q join vectors r on q.vec_id % {topk.EVERY} = 0 and q.vec_id <> r.vec_id and len(q.v) = len(r.v)
+)
+select query_id, rank::int as rank, vec_id, score from (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores
+) where rank <= {topk.TOP}"""
+
+# A SHA-1 in base32: 32 digits of five bits each.
+_WARC = """with payloads as (
+    select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as sha from pages
+), digits as (
+    select *, min(page_id) over (partition by sha) as first_id,
+        list_aggregate(list_transform(range(4), lambda part: list_aggregate(list_transform(range(8), lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+            ((('0x' || sha[part * 10 + 1:part * 10 + 10])::bigint >> (35 - 5 * k)) & 31)::int + 1]), 'string_agg', '')), 'string_agg', '') as digest
+    from payloads
+)
+select page_id, octet_length(encode(body))::bigint as payload_bytes, digest as payload_digest,
+    case when page_id = first_id then 'response' else 'revisit' end as record_type,
+    case when page_id <> first_id then first_id end as refers_to from digits"""
+
+
+def _fits(rule: url_filter.Rule) -> str:
+    return f"(host = '{rule.host}' or suffix(host, '.{rule.host}')) and starts_with(path, '{rule.path}')"
+
+
+def _terms(terms: list[str]) -> str:
+    bounded = [f"regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::int" for t in terms]
+    return " + ".join(bounded)
+
+
+_BY_LENGTH = sorted(url_filter.RULES, key=lambda r: (-len(r.name), r.name))
+_URLS = rf"""with cut as (
+    select page_id, coalesce(url, '') as url, regexp_extract(coalesce(url, ''), '^.*?://(.*)$', 1, 's') as rest from pages
+), parts as (
+    select page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+        translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut
+), judged as (
+    select *, case {" ".join(f"when {_fits(r)} then '{r.name}'" for r in _BY_LENGTH)} end as rule,
+        ({_terms(url_filter.STRICT)})::int as strict_terms, ({_terms(url_filter.SOFT)})::int as soft_terms from parts
+)
+select page_id, host, path, rule, strict_terms, soft_terms, case
+    when rule in ({", ".join(f"'{r.name}'" for r in _BY_LENGTH if r.allow)}) then 'allow' when rule is not null then 'block'
+    when strict_terms > 0 or soft_terms >= {url_filter.SOFT_HITS} then 'block' else 'allow' end as verdict from judged"""
+
+ORACLES = {
+    "op2_quality_rules": _QUALITY,
+    "op3_topk": _TOP,
+    "op4_warc": _WARC,
+    "op7_url_filter": _URLS,
+}

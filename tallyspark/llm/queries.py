@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import mixing, packing, quality, simhash, toxicity
+from tallyspark.llm import mixing, packing, quality, simhash, topk, toxicity, url_filter, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,19 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+@_query
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_rows(table(spark, folder, "embeddings"))
+
+
+@_query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))

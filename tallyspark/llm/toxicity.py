@@ -30,8 +30,7 @@ THRESHOLD = 0.7
 # Labelled training rows that are looked at, at most; the seeded hash of the id chooses them.
 SAMPLE = 8_000
 LANDMARKS = 24
-# A landmark follows, for each toxic training text, at least so many times more different words than for each clean one,
-# and a number of different words that is at least this share of the toxic texts.
+# A landmark is at least so many times more frequent in toxic training texts than in clean ones, and in this share of them.
 MIN_RATIO = 15.0
 MIN_SHARE = 0.04
 # Words are compared in stretches of this many characters that overlap by half, so long ones are covered whole.
@@ -245,18 +244,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def landmarks(rows: DataFrame, count: int = LANDMARKS) -> list[str]:
-    """Words that follow many different words in toxic training texts and few in clean ones, the most telling first.
+    """Words of many toxic training texts and few clean ones, the most telling first.
 
-    Different words before it are counted and not texts, so that the common words of many copies of one toxic text
-    don't look telling. At most ``count`` words come to the driver.
+    A word counts once for each text that is the first with some word before it, so that neither the common words of
+    many copies of one toxic text nor those of one long text look telling. At most ``count`` words come to the driver.
     """
     parted = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
     pairs = F.array_distinct(F.arrays_zip(F.slice(parted, 2, F.size(parted)).alias("word"), parted.alias("before")))
-    seen = rows.select("toxic", F.explode(pairs).alias("pair")).select("toxic", "pair.word", "pair.before")
-    seen = seen.filter(F.length("word").between(ORDER + 1, STRETCH)).groupBy("word", "before").agg(
-        F.max("toxic").alias("bad"), F.min("toxic").alias("all_bad")
+    seen = rows.select("doc_id", "toxic", F.explode(pairs).alias("pair")).select("doc_id", "toxic", "pair.*")
+    firsts = seen.filter(F.length("word").between(ORDER + 1, STRETCH)).groupBy("word", "before").agg(
+        F.min(F.struct("doc_id", "toxic")).alias("first"), F.min("toxic").alias("all_bad")
     )
-    counts = seen.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("all_bad")).alias("good"))
+    texts = firsts.groupBy("word", "first.doc_id").agg(F.max("first.toxic").alias("bad"), F.min("all_bad").alias("all_bad"))
+    counts = texts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("all_bad")).alias("good"))
     sizes = rows.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = sizes["bad"] or 0, (sizes["n"] or 0) - (sizes["bad"] or 0)
     if not bad or not good:
