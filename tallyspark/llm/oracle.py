@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import quality, topk, url_filter
+from tallyspark.llm import chat, quality, topk, url_filter
 
 _SPACE = r"[\x20\x09-\x0D]"
 # The words of a text, and a text's characters without those of a set.
@@ -91,9 +91,25 @@ select page_id, host, path, rule, strict_terms, soft_terms, case
     when rule in ({", ".join(f"'{r.name}'" for r in _BY_LENGTH if r.allow)}) then 'allow' when rule is not null then 'block'
     when strict_terms > 0 or soft_terms >= {url_filter.SOFT_HITS} then 'block' else 'allow' end as verdict from judged"""
 
+# A conversation's turns as a list; one is dropped if it begins a longer list or equals that of a smaller id.
+_CHAT = f"""with numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, "text" nulls first) - 1 as place
+    from conversations
+), convs as (
+    select conv_id, list({{'r': role, 't': "text"}} order by place) as turns, count(*)::bigint as n_turns from numbered group by conv_id
+), prefixes as (
+    select distinct turns[1:k] as turns from (select turns, unnest(range(1, n_turns)) as k from convs)
+), kept as (
+    select min(conv_id) as conv_id, any_value(n_turns) as n_turns from convs anti join prefixes using (turns) group by turns
+)
+select conv_id, n_turns, place // {chat.SEGMENT} as segment,
+    string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10) || coalesce("text", '') || '{chat.CLOSE}' || chr(10), '' order by place) as rendered
+from kept join numbered using (conv_id) group by all"""
+
 ORACLES = {
     "op2_quality_rules": _QUALITY,
     "op3_topk": _TOP,
     "op4_warc": _WARC,
     "op7_url_filter": _URLS,
+    "op8_chat_format": _CHAT,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import mixing, packing, quality, simhash, topk, toxicity, url_filter, warc
+from tallyspark.llm import chat, licenses, mixing, packing, quality, simhash, topk, toxicity, url_filter, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,13 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
+
+
+@_query
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(table(spark, folder, "conversations"))
+
+
+@_query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
