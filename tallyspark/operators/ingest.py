@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 from tallyspark.functions.types import column_type, runtime_name
 from tallyspark.sources.staging import staged
 
-# Fixed value: width of a staged text column.
-TEXT_WIDTH = 255
 _CORRUPT = "_corrupt_record"
 # monotonically_increasing_id puts the partition number above this many bits of position.
 _POSITION_BITS = 33
@@ -68,7 +66,9 @@ def key_columns(meta_rows: MetaRows, keys: int | Iterable[int] | None = None) ->
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that are repeated or have a NULL part, with their number of rows."""
+    """Key values that are repeated or have a NULL part, with their number of rows; none if no key is declared."""
+    if not keys:
+        return df.sparkSession.createDataFrame([], "n_rows bigint")
     has_null = F.lit(False)
     for key in keys:
         has_null = has_null | F.col(f"`{key}`").isNull()
@@ -83,20 +83,19 @@ def conform_frame(df: DataFrame) -> DataFrame:
     )
 
 
-def _staged_text(column: Column, on_long: str) -> Column:
+def _staged_text(column: Column, width: int | None) -> Column:
     text = column.cast("string")
-    if on_long == "error":
-        message = F.concat(F.lit(f"text longer than {TEXT_WIDTH}: "), text)
-        return F.when(F.length(text) > TEXT_WIDTH, F.raise_error(message)).otherwise(text)
-    if on_long != "cut":
-        raise ValueError(f"on_long must be cut or error, not {on_long!r}")
-    return F.substring(text, 1, TEXT_WIDTH)
+    if width is None:
+        return text
+    message = F.concat(F.lit(f"text longer than {width}: "), text)
+    return F.when(F.length(text) > width, F.raise_error(message)).otherwise(text)
 
 
-def to_staging(df: DataFrame, n: int, order_by: list[str | Column], on_long: str = "cut") -> DataFrame:
-    """``rowID`` from 1 without gaps in the given order, and the first ``n`` columns as text ``column1..n``.
+def to_staging(df: DataFrame, n: int, order_by: list[str | Column], width: int | None = None) -> DataFrame:
+    """``rowID`` from 1 without gaps in the given order, and text columns ``column1..n`` with the columns of ``df``.
 
-    The columns hold 255 characters; ``on_long`` says whether a longer text is ``cut`` or is an ``error``.
+    Whole texts are kept. With a ``width`` a longer text is an error, as in a load into columns of that width. Columns
+    beyond those of ``df`` are NULL; fewer than it has is an error.
 
     Rows are range-sorted and stored once with their place inside their partition; a row's id is that place plus the
     sizes of the partitions before it. The stored copy keeps partition and place the same for counting and numbering,
@@ -105,10 +104,10 @@ def to_staging(df: DataFrame, n: int, order_by: list[str | Column], on_long: str
     Rows alike in ``order_by`` are further sorted by a hash of their text and the partition they come from, so that
     even a great many of them, copies included, spread over several ranges.
     """
-    columns = [
-        _staged_text(F.col(f"`{c}`"), on_long).alias(f"column{i}")
-        for i, c in enumerate(df.columns[:n], start=1)
-    ]
+    if n < len(df.columns):
+        raise ValueError(f"{n} staging columns cannot hold the {len(df.columns)} columns {df.columns}")
+    columns = [_staged_text(F.col(f"`{c}`"), width).alias(f"column{i}") for i, c in enumerate(df.columns, start=1)]
+    columns += [F.lit(None).cast("string").alias(f"column{i}") for i in range(len(df.columns) + 1, n + 1)]
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     tied = df.withColumns({"_row": F.xxhash64(*columns), "_from": F.spark_partition_id()})
     stored = staged(
@@ -135,20 +134,24 @@ class JsonRecords(NamedTuple):
 
 
 def json_records(df: DataFrame, column: str, schema: T.StructType | str) -> JsonRecords:
-    """Typed records from a JSON text column, and the texts that could not be read as such.
+    """Typed records from a JSON text column, and the rows that could not be read as such, with their text as ``raw``.
 
-    Other columns are kept. Works on streaming frames too.
+    Each row is in exactly one of the two. A record is one JSON object with nothing after it whose fields have the given
+    types; fields it lacks are NULL. NULL and blank texts, several objects, an array, text after the object and values
+    of another type are rejected. Other columns are kept. Works on streaming frames too.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = T.StructType([*fields.fields, T.StructField(_CORRUPT, T.StringType())])
+    text = F.col(f"`{column}`")
     parsed = df.withColumn(
-        "_json",
-        F.from_json(F.col(column), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}),
+        "_json", F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     )
+    # The parser stops at the end of the first value; in brackets, whatever follows it breaks the list or lengthens it.
+    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")) == 1
+    good = F.ltrim(text).startswith("{") & F.col(f"_json.{_CORRUPT}").isNull() & alone
+    parsed = parsed.withColumn("_good", F.coalesce(good, F.lit(False)))
     others = [F.col(f"`{c}`") for c in df.columns if c != column]
-    bad = F.col(f"_json.{_CORRUPT}").isNotNull()
-    records = parsed.filter(~bad & F.col(column).isNotNull())
     return JsonRecords(
-        records.select(*others, *[F.col(f"_json.`{f.name}`") for f in fields]),
-        parsed.filter(bad).select(*others, F.col(f"_json.{_CORRUPT}").alias("raw")),
+        parsed.filter("_good").select(*others, *[F.col(f"_json.`{f.name}`") for f in fields]),
+        parsed.filter("not _good").select(*others, text.alias("raw")),
     )

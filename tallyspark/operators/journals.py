@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import AsOf, as_of_column, period_key
@@ -170,17 +170,13 @@ def _lines(rows: DataFrame, as_of: AsOf, kind: str, updated: AsOf, retype: bool)
     code = F.when(is_credit, _credit_code()).otherwise(_debit_code())
     if retype:
         code = F.when(F.col("ParentAccountID") != F.col("account"), _of_spec("base_code")).otherwise(code)
-    # The id repeats only for lines alike in every part, so running again gives the same ids.
-    parts = [
-        batch_tag(as_of, F.col("suffix"), kind),
-        F.col("role"),
-        F.col("side"),
-        F.coalesce(F.col("account"), F.lit("")),
-        F.coalesce(F.col("label"), F.lit("")),
-        F.col("amount").cast("string"),
-    ]
-    return rows.withColumns(_stamp(as_of, kind, updated)).select(
-        F.sha2(F.concat_ws("|", *parts), 256).alias("APTransDetailID"),
+    # Lines alike in every part are numbered, so each has its own id and running again gives the same ids. JSON leaves
+    # NULL parts out and quotes all others, so no two lists of parts read alike.
+    parts = ["suffix", "role", "side", "account", "label", "amount"]
+    ordinal = F.row_number().over(Window.partitionBy(*parts).orderBy(F.lit(0)))
+    named = F.struct(batch_tag(as_of, F.col("suffix"), kind).alias("batch"), *parts[1:], "ordinal")
+    return rows.withColumn("ordinal", ordinal).withColumns(_stamp(as_of, kind, updated)).select(
+        F.sha2(F.to_json(named), 256).alias("APTransDetailID"),
         _header_id(as_of, kind).alias("ApTransactionID"),
         code.alias("TransactionType"),
         "TransactionDate",
@@ -247,16 +243,13 @@ def with_header_amount(headers: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def retype_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """Lines that are not on their header's account take the header's own code.
-
-    ``headers`` are those of the generated batches, so at most one per rule.
-    """
+    """Lines that are not on their header's account take the header's own code."""
     parents = headers.select(
         F.col("APTransactionID").alias("ApTransactionID"), "ParentAccountID", F.col("TransactionType").alias("_base")
     )
     elsewhere = F.col("ParentAccountID") != F.col("ThisAccountID")
     code = F.when(elsewhere, F.col("_base")).otherwise(F.col("TransactionType"))
-    return lines.join(F.broadcast(parents), "ApTransactionID", "left").select(
+    return lines.join(parents, "ApTransactionID", "left").select(
         *[code.alias(c) if c == "TransactionType" else F.col(c) for c in lines.columns]
     )
 

@@ -26,12 +26,17 @@ CHECKS = {
 }
 
 
-def parent_lines_per_batch(details: DataFrame, batches: list[str]) -> DataFrame:
-    """Number of parent lines of each batch, 0 included, and whether it is exactly one."""
-    spark = details.sparkSession
-    wanted = spark.createDataFrame([(b,) for b in batches], "batch string")
+def parent_lines_per_batch(details: DataFrame, batches: list[str] | DataFrame) -> DataFrame:
+    """Number of parent lines of each batch, 0 included, and whether it is exactly one.
+
+    ``batches`` are tags, or a frame whose first column has them.
+    """
+    if isinstance(batches, DataFrame):
+        wanted = batches.select(batches[batches.columns[0]].alias("batch")).dropna().distinct()
+    else:
+        wanted = details.sparkSession.createDataFrame([(b,) for b in batches], "batch string")
     counts = (
-        details.filter(F.col("LastUpdatedBy").isin(batches) & (F.col("TransactionType") == PARENT_CODE))
+        details.filter(F.col("TransactionType") == PARENT_CODE)
         .groupBy(F.col("LastUpdatedBy").alias("batch"))
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
@@ -130,10 +135,11 @@ def _unknown_count(df: DataFrame, number: int, key: str, accounts: DataFrame) ->
     return _count(not_in(keys, key, accounts, "AccountID"), number, F.col("_rows"))
 
 
-def _transaction_counts(details: DataFrame) -> DataFrame:
+def _transaction_counts(details: DataFrame, nulls_as_zero: bool) -> DataFrame:
     """Checks 2, 3, 4, 6, 7 and 8 from one scan and one grouping of the lines by transaction.
 
-    Check 3 counts as one violation if its total is not 0, NULL totals included.
+    Check 3 counts as one violation if its total is not 0, NULL totals included; with ``nulls_as_zero`` a side without
+    any amount is 0, and only a ledger without lines has no total.
     """
     this = F.col("ThisAccountID")
     per_txn = details.groupBy("ApTransactionID").agg(
@@ -144,7 +150,10 @@ def _transaction_counts(details: DataFrame) -> DataFrame:
         F.count_if(this != F.col("CreditAccountID")).alias("credit_account"),
         F.count_if(this != F.col("DebitAccountID")).alias("debit_account"),
     )
-    off = F.coalesce(F.sum("debit") - F.sum("credit") != 0, F.lit(True))
+    debit, credit = F.sum("debit"), F.sum("credit")
+    if nulls_as_zero:
+        debit, credit = (F.when(F.count(F.lit(1)) > 0, F.coalesce(c, F.lit(0))) for c in (debit, credit))
+    off = F.coalesce(debit - credit != 0, F.lit(True))
     counts = {
         2: F.count_if(F.col("parents") > 1),
         3: off.cast("bigint"),
@@ -168,7 +177,7 @@ def validate(
     details: DataFrame,
     txns: DataFrame,
     accounts: DataFrame,
-    batches: list[str] | None = None,
+    batches: list[str] | DataFrame | None = None,
     nulls_as_zero: bool = False,
 ) -> DataFrame:
     """One row per check: its number, name, ``pass`` or ``fail``, and how many violations it has.
@@ -176,10 +185,7 @@ def validate(
     Check 1 counts the ``batches`` without exactly one parent line and is left out if none are given. The others look
     at the whole ledger.
     """
-    results = _transaction_counts(details)
-    if nulls_as_zero:
-        total = total_balanced(details, nulls_as_zero=True).filter(~F.col("passed"))
-        results = results.filter(F.col("check_no") != 3).unionByName(_count(total, 3))
+    results = _transaction_counts(details, nulls_as_zero)
     parts = [
         _count(header_amounts(txns, details), 5),
         _unknown_count(details, 9, "ThisAccountID", accounts),

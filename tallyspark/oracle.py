@@ -5,13 +5,14 @@ Written from the meaning of each operator with plain joins and windows, without
 
 from __future__ import annotations
 
+from tallyspark.operators.trial_balance import PROFIT_AND_LOSS_TYPES
 from tallyspark.sources.adapter import adapter_ctes
 
 AS_OF = "date '2001-06-30'"
 TODAY = "date '2001-07-15'"
 YEAR_START = "date '2001-01-01'"
 HISTORY = "date '1970-01-01'"
-PL = "(3, 6, 8, 14, 15)"
+PL = f"({', '.join(map(str, PROFIT_AND_LOSS_TYPES))})"
 
 
 def _m(expression: str) -> str:
@@ -360,6 +361,26 @@ where Balance <> 0 and not exists (select 1 from {extract} x where x.basis = t.b
 
 
 # Common table expressions a statement needs, and the statement itself.
+# The ledger with the booked batches in it; a batch is its own transaction.
+_BOOKED = """
+booked_details as (
+    select ApTransactionID, TransactionType, ThisAccountID, CreditAccountID, DebitAccountID, CreditAmount, DebitAmount
+    from ap_transaction_details
+    union all select batch, code, account, case when credit is not null then account end,
+        case when debit is not null then account end, credit, debit from final_lines
+),
+booked_txns as (
+    select APTransactionID, TransactionType, TransactionAmount, ParentAccountID from ap_transaction_table
+    union all select batch, base, (select sum(debit) from final_lines l where l.batch = b.batch), parent from batches b
+)"""
+
+_MONTH_END_CHECKS = (
+    _ALL_CHECKS.replace("ap_transaction_details", "booked_details").replace("ap_transaction_table", "booked_txns")
+    + """
+    union all select 1, 'chk_one_parent_line', case when count(*) = 0 then 'pass' else 'fail' end, count(*)
+    from (select batch from batches left join final_lines l using (batch) group by batch having count(*) filter (l.code = 20) <> 1) x"""
+)
+
 _LEDGER: dict[str, tuple[list[str], str]] = {
     "ap_billed": ([AGING], f"select {_BILL_TEXT}, {_m('Billed')} Billed, {_m('0')} Paid from billed_rows"),
     "ap_account_fallback": ([AGING], "select VendorBillID, APAccount from bill_accounts"),
@@ -369,6 +390,10 @@ _LEDGER: dict[str, tuple[list[str], str]] = {
         [AGING],
         f"select {_BILL_TEXT}, {_m('Billed')} Billed, {_m('Paid')} Paid from bill_totals",
     ),
+    "ap_bill_balance_steps": (
+        [AGING],
+        f"select {_BILL_TEXT}, {_m('Billed')} Billed, {_m('Paid')} Paid from bill_totals",
+    ),
     "ap_credit_used": (
         [AGING],
         f"""select VendorBillID, PayeeID, TransactionDate, Ref, {_m("VendorCreditAmount")} VendorCreditAmount,
@@ -497,6 +522,14 @@ mistyped as (
         _header("(select sum(credit) from raw_lines l where l.batch = batches.batch)"),
     ),
     "journal_retype": ([BALANCES, RECONCILE, JOURNALS], _line("final_lines")),
+    "journal_retype_steps": ([BALANCES, RECONCILE, JOURNALS], _line("final_lines")),
+    "journal_line_ids": (
+        [BALANCES, RECONCILE, JOURNALS],
+        """select batch LastUpdatedBy, n_lines, n_lines n_ids from (
+            select batch, 2 * (n_credit + n_debit) + case when difference <> 0 then 1 else 0 end
+                + case when case when base = 5 then n_debit else n_credit end = 0 then 1 else 0 end n_lines from batches
+        ) x""",
+    ),
     "chk_one_parent_line": (
         [BALANCES, RECONCILE, JOURNALS],
         """select batch, count(*) filter (code = 20) n_lines, count(*) filter (code = 20) = 1 passed
@@ -512,6 +545,19 @@ mistyped as (
         f"""select {_m("sum(DebitAmount) - sum(CreditAmount)")} difference,
         coalesce(sum(DebitAmount) = sum(CreditAmount), false) passed from ap_transaction_details""",
     ),
+    "chk_total_balanced_nulls": (
+        [],
+        f"""select {_m("sum(DebitAmount)")} difference, coalesce(sum(DebitAmount) = 0, false) passed
+        from ap_transaction_details""",
+    ),
+    "chk_header_amount_credit": (
+        [],
+        f"""select t.APTransactionID, t.TransactionType, {_m("t.TransactionAmount")} TransactionAmount,
+        {_m("d.amt")} amt from ap_transaction_table t
+        join (select ApTransactionID id, sum(CreditAmount) amt from ap_transaction_details group by 1) d
+            on d.id = t.APTransactionID
+        where t.TransactionAmount <> d.amt and t.TransactionType <> 4""",
+    ),
     "chk_txn_balanced": (
         [],
         f"""select ApTransactionID, {_m("sum(DebitAmount)")} DebitAmount, {_m("sum(CreditAmount)")} CreditAmount
@@ -579,23 +625,36 @@ mistyped as (
         [BALANCES, RECONCILE, JOURNALS],
         f"select basis, AccountID, {_m('Balance')} Balance from rebuilt",
     ),
+    "month_end_checks": ([BALANCES, RECONCILE, JOURNALS, _BOOKED], _MONTH_END_CHECKS),
     "month_end_left_over": ([BALANCES, RECONCILE, JOURNALS], _left_over("reconciled", "rebuilt")),
 }
 
 _LOADING = {
     "conform_to_metadata": """select c_custkey, c_name, c_nationkey,
         cast(cast(c_acctbal as decimal(13,2)) as decimal(38,2)) c_acctbal from customer""",
+    "null_violations": """select 'c_custkey' "column", count(*) filter (c_custkey is null) n_nulls from customer
+        union all select 'c_name', count(*) filter (c_name is null or c_custkey % 11 = 0) from customer""",
+    "key_violations_chosen": """select 'marked' keys, count(*) n_keys, sum(n)::bigint n_rows
+            from (select count(*) n from customer group by c_custkey having count(*) > 1 or c_custkey is null)
+        union all select 'first', count(*), sum(n)::bigint
+            from (select count(*) n from customer group by c_name, c_nationkey having count(*) > 1 or c_name is null or c_nationkey is null)
+        union all select 'places', count(*), sum(n)::bigint
+            from (select count(*) n from customer group by c_mktsegment, c_nationkey having count(*) > 1 or c_mktsegment is null or c_nationkey is null)
+        union all select 'none', 0, null""",
     "key_violations": """select l_orderkey, l_linenumber, count(*) n_rows from lineitem group by all
         having count(*) > 1 or l_orderkey is null or l_linenumber is null""",
     "conform_frame": """select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as real) o_totalprice,
         cast(o_orderdate as timestamp) o_orderdate, o_orderpriority from orders""",
-    "staging_table": """select row_number() over (order by conv_id, turn) rowID,
-        left(cast(conv_id as string), 255) column1, left(cast(turn as string), 255) column2, left(role, 255) column3, left("text", 255) column4
+    "staging_table": """select row_number() over (order by conv_id, turn) rowID, cast(conv_id as string) column1,
+        cast(turn as string) column2, role column3, "text" column4, cast(null as string) column5, cast(null as string) column6
         from conversations""",
     "bulk_append": "select * from customer union all select * replace (-c_acctbal as c_acctbal) from customer",
-    "json_records": """select event_id,
-        case when event_type <> 'error' then cast(regexp_extract(props, '\\d+') as int) end k,
-        case when event_type = 'error' then replace(props, '}', '') end raw from events""",
+    "json_records": """select event_id, is_record, case when is_record then cast(regexp_extract(props, '\\d+') as int) end k,
+        case when not is_record then raw end raw
+        from (
+            select event_id, props, event_id % 9 not between 1 and 5 is_record, case event_id % 9 when 1 then null when 2 then ''
+                when 3 then '  ' when 4 then replace(props, '}', '') when 5 then props || ' junk' end raw from events
+        ) x""",
 }
 
 ORACLES: dict[str, str] = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ class MonthEnd:
     headers: DataFrame
     details: DataFrame
     rebuilt: DataFrame
+    checks: DataFrame
 
 
 def trial_balances(tables: LedgerTables, as_of: AsOf, plug: str | None = PLUG_ACCOUNT) -> DataFrame:
@@ -40,7 +42,8 @@ def reconciled_extract(tables: LedgerTables, tb: DataFrame) -> DataFrame:
     """Both extracts mapped to accounts, with balance and final balance."""
     extract = reconcile.drop_blank_rows(reconcile.by_basis(tables.extract_accrual, tables.extract_cash))
     mapped = reconcile.map_accounts(extract, tables.qb_accounts, tables.accounts)
-    return reconcile.final_balance(reconcile.with_balance(mapped), tb)
+    # Compared with the ledger and listed as seen, so stored once instead of mapped twice.
+    return reconcile.final_balance(staged(reconcile.with_balance(mapped), "mapped"), tb)
 
 
 def book(tables: LedgerTables, made: journals.Journals) -> LedgerTables:
@@ -73,15 +76,20 @@ def month_end(
 ) -> MonthEnd:
     """Run the whole job. Frames read by several later steps are stored in the shared checkpoint folder.
 
-    The returned frames are not yet in the ledger: write ``headers`` and ``details`` with ``journals.replace_batch``.
+    The returned frames are not yet in the ledger: write ``headers`` and ``details`` with ``sinks.replace_batches``.
+    ``checks`` are the results for the ledger as it is with them; a batch that has no rows is not among those checked.
+    The moment that ``as_of`` and ``updated`` stand for when they are None is read from the clock once.
     """
+    now = datetime.now(timezone.utc)
+    as_of, updated = now if as_of is None else as_of, now if updated is None else updated
     tb = staged(trial_balances(tables, as_of, plug), "trial_balance")
     compared = staged(reconciled_extract(tables, tb), "compared")
     final = staged(reconcile.hybrid_flag(compared), "reconciled")
     made = journals.generate_journals(final, as_of, kind, updated)
     made = journals.Journals(staged(made.headers, "headers"), staged(made.details, "details"))
     rebuilt = staged(trial_balances(book(tables, made), as_of, plug), "rebuilt")
-    return MonthEnd(tb, final, made.headers, made.details, rebuilt)
+    checks = ledger_checks(tables, made, as_of, kind)
+    return MonthEnd(tb, final, made.headers, made.details, rebuilt, checks)
 
 
 def comparison(result: MonthEnd) -> DataFrame:
@@ -106,8 +114,9 @@ def comparison(result: MonthEnd) -> DataFrame:
 
 
 def ledger_checks(tables: LedgerTables, made: journals.Journals, as_of: AsOf, kind: str = "monthly") -> DataFrame:
-    """The check results for the ledger with the period's batches replaced by new ones."""
+    """All eleven check results for the ledger with the period's batches replaced by new ones."""
     tags = journals.batch_tags(as_of, kind)
     details = journals.replace_batch(tables.details, made.details, tags)
     txns = journals.replace_batch(tables.txns, made.headers, tags)
-    return validation.validate(details, txns, tables.accounts)
+    batches = made.headers.select("LastUpdatedBy")
+    return validation.validate(details, txns, tables.accounts, batches)

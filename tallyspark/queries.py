@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,13 @@ from tallyspark.operators import aging, ingest, journals, recheck, reconcile, tr
 from tallyspark.plans import month_end as month
 from tallyspark.plans.ap_report import ap_aging as ap_aging_report
 from tallyspark.sources.adapter import adapter_tables
-from tallyspark.sources.sinks import bulk_append_path
+from tallyspark.sources.sinks import bulk_append_path, write_period
 from tallyspark.sources.staging import staged, staging_path
 from tallyspark.sources.tables import LedgerTables
 
 AS_OF = date(2001, 6, 30)
 TODAY = date(2001, 7, 15)
-# Metadata rows as a loader would find them, over the columns of ``supplier`` and ``customer`` records.
+# Metadata rows as a loader would find them, over the columns of ``customer`` records.
 CUSTOMER_META = [
     {"ColumnName": "c_custkey", "DataType": "System.Int64", "AllowDBNull": False, "IsKey": True},
     {"ColumnName": "c_name", "DataType": "System.String"},
@@ -89,6 +90,13 @@ def ap_bill_balance(t: LedgerTables) -> DataFrame:
     return aging.bill_positions(t.employees, t.bills, t.details, t.txns, t.checks, AS_OF)
 
 
+@_ledger_query
+def ap_bill_balance_steps(t: LedgerTables) -> DataFrame:
+    paid = aging.payments(t.employees, t.bills, t.details, t.txns, t.checks, AS_OF)
+    discounts = aging.discounts(t.employees, t.bills, t.details, t.txns, t.checks, AS_OF)
+    return aging.bill_balance(aging.billed(t.bills, t.details, AS_OF), paid, discounts)
+
+
 @_ledger_query
 def ap_credit_used(t: LedgerTables) -> DataFrame:
     return aging.credit_used(t.txns, t.details, t.credit_uses, AS_OF)
@@ -155,8 +163,15 @@ def tb_zero_check(t: LedgerTables) -> DataFrame:
 
 @_ledger_query
 def tb_period(t: LedgerTables) -> DataFrame:
-    monthly = trial_balance.in_period(_accrual(t).select("AccountID", "Balance"), AS_OF, "A")
-    return monthly.unionByName(trial_balance.in_period(_cash(t), AS_OF, "C", "yearly"))
+    """Both bases stored, one of them rebuilt empty and then again, read back."""
+    spark = t.accounts.sparkSession
+    path = staging_path(spark, "periods")
+    accrual = _accrual(t).select("AccountID", "Balance")
+    write_period(trial_balance.in_period(accrual, AS_OF, "A"), path, "200106", "A")
+    write_period(trial_balance.in_period(_cash(t), AS_OF, "C", "yearly"), path, "2001", "C")
+    write_period(accrual.limit(0), path, "200106", "A")
+    write_period(trial_balance.in_period(accrual, AS_OF, "A"), path, "200106", "A")
+    return spark.read.parquet(path).withColumn("period", F.col("period").cast("string"))
 
 
 # Reconciliation
@@ -338,6 +353,21 @@ def journal_retype(t: LedgerTables) -> DataFrame:
     return _journals(t).details.select(*LINE_COLUMNS)
 
 
+@_ledger_query
+def journal_retype_steps(t: LedgerTables) -> DataFrame:
+    headers, lines, _ = _raw_journals(t)
+    return journals.retype_lines(lines, headers).select(*LINE_COLUMNS)
+
+
+@_ledger_query
+def journal_line_ids(t: LedgerTables) -> DataFrame:
+    """Lines and distinct line ids from an extract in which every row stands twice."""
+    final = _reconciled(t)
+    made = journals.generate_journals(staged(final.unionByName(final), "doubled"), AS_OF).details
+    per_id = made.groupBy("LastUpdatedBy", "APTransDetailID").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.groupBy("LastUpdatedBy").agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_ids"))
+
+
 # Checks
 
 
@@ -357,6 +387,13 @@ def chk_total_balanced(t: LedgerTables) -> DataFrame:
     return validation.total_balanced(t.details)
 
 
+@_ledger_query
+def chk_total_balanced_nulls(t: LedgerTables) -> DataFrame:
+    # Amounts on one side only, so that the other has no total.
+    one_sided = t.details.withColumn("CreditAmount", F.lit(None).cast("decimal(18,2)"))
+    return validation.total_balanced(one_sided, nulls_as_zero=True)
+
+
 @_ledger_query
 def chk_txn_balanced(t: LedgerTables) -> DataFrame:
     return validation.unbalanced_transactions(t.details)
@@ -369,6 +406,13 @@ def chk_header_amount(t: LedgerTables) -> DataFrame:
     )
 
 
+@_ledger_query
+def chk_header_amount_credit(t: LedgerTables) -> DataFrame:
+    return validation.header_amounts(t.txns, t.details, side="credit").select(
+        "APTransactionID", "TransactionType", "TransactionAmount", "amt"
+    )
+
+
 CHECKED_LINE = [
     "ApTransactionID",
     "TransactionType",
@@ -447,6 +491,11 @@ def month_end(t: LedgerTables) -> DataFrame:
     return month.month_end(t, AS_OF).rebuilt
 
 
+@_ledger_query
+def month_end_checks(t: LedgerTables) -> DataFrame:
+    return month.month_end(t, AS_OF).checks
+
+
 @_ledger_query
 def month_end_left_over(t: LedgerTables) -> DataFrame:
     return month.comparison(month.month_end(t, AS_OF))
@@ -460,12 +509,36 @@ def conform_to_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.conform_to_metadata(_base(spark, folder, "customer"), CUSTOMER_META)
 
 
+@_query
+def null_violations(spark: SparkSession, folder: str) -> DataFrame:
+    # Every eleventh customer came without a name.
+    name = F.when(F.col("c_custkey") % 11 != 0, F.col("c_name")).alias("c_name")
+    meta = [*CUSTOMER_META[:1], {**CUSTOMER_META[1], "AllowDBNull": False}]
+    return ingest.null_violations(_base(spark, folder, "customer").select("c_custkey", name), meta)
+
+
 @_query
 def key_violations(spark: SparkSession, folder: str) -> DataFrame:
     lines = _base(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     return ingest.key_violations(lines, ["l_orderkey", "l_linenumber"])
 
 
+@_query
+def key_violations_chosen(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of the columns marked as key, of the first two columns, of two given places, and of no key at all."""
+    customers = _base(spark, folder, "customer")
+    parts = []
+    for label, keys in (
+        ("marked", ingest.key_columns(CUSTOMER_META)),
+        ("first", ingest.key_columns(CUSTOMER_META[1:], 2)),
+        ("places", ingest.key_columns(CUSTOMER_META, [4, 2])),
+        ("none", ingest.key_columns(CUSTOMER_META[1:])),
+    ):
+        found = ingest.key_violations(customers, keys)
+        parts.append(found.agg(F.lit(label).alias("keys"), F.count(F.lit(1)).alias("n_keys"), F.sum("n_rows").alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def conform_frame(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.conform_frame(_base(spark, folder, "orders"))
@@ -473,7 +546,7 @@ def conform_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def staging_table(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.to_staging(_base(spark, folder, "conversations"), 4, ["conv_id", "turn"])
+    return ingest.to_staging(_base(spark, folder, "conversations"), 6, ["conv_id", "turn"])
 
 
 @_query
@@ -487,8 +560,16 @@ def bulk_append(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def json_records(spark: SparkSession, folder: str) -> DataFrame:
-    # The texts of one kind of event lost their closing brace.
-    cut = F.when(F.col("event_type") == "error", F.replace("props", F.lit("}"))).otherwise(F.col("props"))
-    events = _base(spark, folder, "events").select("event_id", cut.alias("props"))
+    # Some messages got lost, came empty or blank, were cut, or had something after them.
+    broken = (
+        F.when(F.col("event_id") % 9 == 1, F.lit(None))
+        .when(F.col("event_id") % 9 == 2, F.lit(""))
+        .when(F.col("event_id") % 9 == 3, F.lit("  "))
+        .when(F.col("event_id") % 9 == 4, F.replace("props", F.lit("}")))
+        .when(F.col("event_id") % 9 == 5, F.concat("props", F.lit(" junk")))
+        .otherwise(F.col("props"))
+    )
+    events = _base(spark, folder, "events").select("event_id", broken.alias("props"))
     parsed = ingest.json_records(events, "props", "k int")
-    return parsed.records.unionByName(parsed.rejects, allowMissingColumns=True)
+    records = parsed.records.withColumn("is_record", F.lit(True))
+    return records.unionByName(parsed.rejects.withColumn("is_record", F.lit(False)), allowMissingColumns=True)

