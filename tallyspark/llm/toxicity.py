@@ -26,13 +26,18 @@ from tallyspark.llm.common import fresh
 
 ORDER = 3
 DECAY = 0.7
+# The normalised kernel is raised to this power, which is a kernel too and parts close words more clearly.
+POWER = 3
 THRESHOLD = 0.7
 # Labelled training rows that are looked at, at most; the seeded hash of the id chooses them.
-SAMPLE = 8_000
-LANDMARKS = 24
+SAMPLE = 6_000
+LANDMARKS = 32
+# Strings that are looked at closely on the way to the landmarks, and the lengths of stems among them.
+CANDIDATES = 2_000
+STEMS = (4, 5, 6)
 # A landmark is at least so many times more frequent in toxic training texts than in clean ones, and in this share of them.
 MIN_RATIO = 15.0
-MIN_SHARE = 0.04
+MIN_SHARE = 0.01
 # Words are compared in stretches of this many characters that overlap by half, so long ones are covered whole.
 STRETCH = 32
 # Part of a landmark's characters that a word must have in order for its kernel value to count; below it counts as zero.
@@ -40,7 +45,8 @@ SHARED = 0.85
 # Words that a task remembers at most; beyond it the memory starts anew.
 MEMORY = 400_000
 SEED = 42
-_SENTENCE = re.compile(r"[.!?\n]+\s+|\n+")
+# Sentences keep their last mark, so that their words are those of the whole text.
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 # Left off both ends of a word; inside a word they are gaps.
 _EDGES = ".,;:!?\"'()[]{}<>«»“”„‘’-–—*_~|/\\#%&$"
 
@@ -96,9 +102,10 @@ def _self_kernel(found: np.ndarray) -> np.ndarray:
 
 
 def _stretches(word: str) -> list[str]:
-    """What is compared of a word: itself without its edges, and its letters alone if other characters part them."""
+    """What is compared of a word: itself without its edges, its letters alone if other characters part them, its stem."""
     bare = word.strip(_EDGES)
     forms = [bare] if bare.isalpha() else [bare, "".join(filter(str.isalpha, bare))]
+    forms += [bare[: STEMS[-1]]] if len(bare) > STEMS[-1] + 1 else []
     half = STRETCH // 2
     return [f[k : k + STRETCH] for f in forms if len(f) >= ORDER for k in range(0, max(1, len(f) - half), half)]
 
@@ -121,7 +128,7 @@ class Kernels:
         return Kernels, (self.landmarks,)
 
     def matrix(self) -> np.ndarray:
-        return kernel(self._marks, self._marks) / np.outer(self._own, self._own)
+        return (kernel(self._marks, self._marks) / np.outer(self._own, self._own)) ** POWER
 
     def learn(self, words: set[str]) -> None:
         """Computes the words that aren't known yet; those with a value are in ``near``."""
@@ -144,7 +151,7 @@ class Kernels:
         keep = np.flatnonzero(close.any(axis=1))
         for row, near in zip(rows[keep], close[keep]):
             cut = found[row : row + 1, : int((found[row] != 0).sum())]
-            value = np.where(near, kernel(cut, self._marks)[0] / (np.sqrt(_self_kernel(cut)[0]) * self._own), 0)
+            value = np.where(near, kernel(cut, self._marks)[0] / (np.sqrt(_self_kernel(cut)[0]) * self._own), 0) ** POWER
             word = parts[row][0]
             self.near[word] = np.maximum(self.near.get(word, 0), value)
 
@@ -167,6 +174,11 @@ class Kernels:
         return found
 
 
+def _nearness(described: np.ndarray) -> tuple[float, float]:
+    """How close a sentence comes to any landmark, and of equally close ones to all of them."""
+    return round(float(described.max()), 2), float(described.sum())
+
+
 def _spelled(words: list[str]) -> list[str]:
     """Words made of runs of four or more single characters, as in ``i d i o t``."""
     if list(map(len, words)).count(1) < 4:
@@ -201,7 +213,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 3000) -> tuple[np.ndarray, float]:
     """A linear machine with squared hinge loss, classes weighed alike, by accelerated gradient steps. ``y`` is -1 or 1."""
     one = np.hstack([x, np.ones((len(x), 1))])
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
@@ -243,27 +255,51 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return docs.select("doc_id", "text").join(small, "doc_id").select("doc_id", "text", "toxic")
 
 
+def _beginnings(word: Column) -> Column:
+    """A word and its stems: its first characters, for languages that inflect."""
+    return F.array(word, *[F.left(word, F.lit(n)) for n in STEMS])
+
+
 def landmarks(rows: DataFrame, count: int = LANDMARKS) -> list[str]:
-    """Words of many toxic training texts and few clean ones, the most telling first.
+    """Words and stems of many toxic training texts and few clean ones, the most telling first.
 
-    A word counts once for each text that is the first with some word before it, so that neither the common words of
-    many copies of one toxic text nor those of one long text look telling. At most ``count`` words come to the driver.
+    Texts are counted twice. The first count gives at most ``CANDIDATES`` strings. In the second, a string counts once for
+    each text that is the first with some word before it, so that neither the common words of many copies of one toxic
+    text nor those of one long text look telling. Of two strings of which one begins the other the more frequent stays,
+    or the longer. At most ``CANDIDATES`` strings come to the driver.
     """
-    parted = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
-    pairs = F.array_distinct(F.arrays_zip(F.slice(parted, 2, F.size(parted)).alias("word"), parted.alias("before")))
-    seen = rows.select("doc_id", "toxic", F.explode(pairs).alias("pair")).select("doc_id", "toxic", "pair.*")
-    firsts = seen.filter(F.length("word").between(ORDER + 1, STRETCH)).groupBy("word", "before").agg(
-        F.min(F.struct("doc_id", "toxic")).alias("first"), F.min("toxic").alias("all_bad")
-    )
-    texts = firsts.groupBy("word", "first.doc_id").agg(F.max("first.toxic").alias("bad"), F.min("all_bad").alias("all_bad"))
-    counts = texts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("all_bad")).alias("good"))
     sizes = rows.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = sizes["bad"] or 0, (sizes["n"] or 0) - (sizes["bad"] or 0)
     if not bad or not good:
         return []
-    ratio = (F.col("bad") / bad) / ((F.col("good") + 0.5) / good)
-    telling = counts.filter((F.col("bad") >= F.greatest(F.lit(2.0), F.lit(MIN_SHARE * bad))) & (ratio >= MIN_RATIO))
-    return [r["word"] for r in telling.orderBy(F.col("bad").desc(), "word").limit(count).collect()]
+
+    def telling(counts: DataFrame) -> DataFrame:
+        ratio = (F.col("bad") / bad) / ((F.col("good") + 0.5) / good)
+        enough = F.col("bad") >= F.greatest(F.lit(3.0), F.lit(MIN_SHARE * bad))
+        return counts.filter(enough & (ratio >= MIN_RATIO)).orderBy(F.col("bad").desc(), F.length("word").desc(), "word")
+
+    parted = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
+    parts = rows.select("doc_id", "toxic", parted.alias("words"))
+    own = F.array_distinct(F.flatten(F.transform(F.array_distinct("words"), _beginnings)))
+    seen = parts.select("toxic", F.explode(own).alias("word")).filter(F.length("word").between(ORDER + 1, STRETCH))
+    counts = seen.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    known = [r["word"] for r in telling(counts).limit(CANDIDATES).collect()]
+    pairs = F.arrays_zip(F.slice("words", 2, F.size("words")).alias("word"), F.col("words").alias("before"))
+    near = parts.select("doc_id", "toxic", F.explode(pairs).alias("p")).select("doc_id", "toxic", "p.before", F.explode(_beginnings(F.col("p.word"))).alias("word"))
+    firsts = near.filter(F.col("word").isin(known)).groupBy("word", "before").agg(F.min(F.struct("doc_id", "toxic")).alias("first"))
+    texts = firsts.groupBy("word", "first.doc_id").agg(F.max("first.toxic").alias("toxic"))
+    spread = texts.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    chosen: dict[str, int] = {}
+    for row in telling(spread).collect():
+        word, n = row["word"], row["bad"]
+        related = [c for c in chosen if c.startswith(word) or word.startswith(c)]
+        # A whole word nearly as frequent as its stem says more than the stem.
+        if len(related) == 1 and word.startswith(related[0]) and n >= 0.9 * chosen[related[0]]:
+            del chosen[related[0]]
+            related = []
+        if not related:
+            chosen[word] = n
+    return list(chosen)[:count]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, count: int = LANDMARKS) -> Model:
@@ -281,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, count: int =
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = kernels.sentences(batch["text"].tolist())
-            worst = [max(f, key=lambda x: float(x.max()), default=np.zeros(len(marks))) for f in found]
+            worst = [max(f, key=_nearness, default=np.zeros(len(marks))) for f in found]
             yield pd.DataFrame({"toxic": batch["toxic"].astype("int32"), "x": [x.astype(float).tolist() for x in worst]})
 
     found = rows.select("text", "toxic").mapInPandas(describe, "toxic int, x array<double>").toPandas()

@@ -1,0 +1,51 @@
+import random
+import re
+
+from tallyspark.llm import licenses
+
+
+def shingles(text):
+    w = [x for x in re.split(r"[^\w]+|_", text.lower()) if x]
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+
+def brute(text):
+    """Licenses of which the whole text holds enough shingles of a template."""
+    own = shingles(text or "")
+    return {
+        name: max(len(own & shingles(t)) / len(shingles(t)) for t in all_of)
+        for name, all_of in licenses.TEMPLATES.items()
+        if any(len(own & shingles(t)) >= 0.8 * len(shingles(t)) for t in all_of)
+    }
+
+
+def test_against_containment(documents):
+    rng = random.Random(1)
+    words = [f"wort{k}" for k in range(50)]
+    filler = lambda n: " ".join(rng.choices(words, k=n))
+    texts = [filler(rng.randrange(0, 80)) for _ in range(30)]
+    for all_of in licenses.TEMPLATES.values():
+        for template in all_of:
+            for n in range(0, 40):
+                texts.append(f"{filler(n)}. {template.upper() if n % 2 else template} {filler(n % 7)}")
+            cut = template.split()
+            texts += [" ".join(cut[: len(cut) // 2]), " ".join(cut[:-1]), template.replace(" ", " \n* "), template]
+    texts += [None, "", "MIT", "Released under the MIT", " ".join(a for t in licenses.TEMPLATES.values() for a in t), filler(30_000) + licenses.TEMPLATES["MIT"][1]]
+    docs = documents(*({"doc_id": k, "text": t} for k, t in enumerate(texts)))
+    found = {}
+    for r in licenses.scan(docs).collect():
+        assert (r["doc_id"], r["license"]) not in found
+        found[r["doc_id"], r["license"]] = r["containment"]
+    assert found == {(k, name): c for k, t in enumerate(texts) for name, c in brute(t).items()}
+
+
+def test_odd_rows(documents):
+    line = licenses.TEMPLATES["MIT"][0]
+    same = {"doc_id": None, "text": f"so it is: {line}"}
+    rows = licenses.scan(documents(same, same, {"doc_id": None, "text": line}, {"doc_id": 1, "text": f"{line}\n{line}"})).collect()
+    assert sorted((str(r["doc_id"]), r["word"]) for r in rows) == [("1", 0), ("None", 0), ("None", 0)]
+    assert licenses.scan(documents()).collect() == []
+
+
+def test_no_python_in_the_plan(documents):
+    assert "Python" not in licenses.scan(documents())._jdf.queryExecution().executedPlan().toString()

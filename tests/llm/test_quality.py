@@ -1,0 +1,61 @@
+import random
+
+from tallyspark.llm import quality
+
+
+def brute(text):
+    """The measures that the contract names, place by place."""
+    parted = "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in text or "")
+    w = [x for x in parted.split(" ") if x]
+    windows = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    covered = {k + d for k, v in enumerate(windows) if windows.count(v) > 1 for d in range(5)}
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    dup = sum(x in lines[:k] for k, x in enumerate(lines))
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered)
+
+
+def test_measures_against_brute_force(documents):
+    rng = random.Random(5)
+    alphabet = ["a", "b", "é#", "x\x0by", "line\n", "line", "\n", "the", "|", "😀"]
+    texts = [" ".join(rng.choices(alphabet, k=rng.randrange(0, 120))) for _ in range(120)]
+    texts += [None, "", " \n ", "a b c d e", "a b c d e a b c d e", "a a a a a a a", "a b", "same\nsame\n \nsame", "w " * 20_000]
+    rows = quality.judge(documents(*({"doc_id": k, "text": t} for k, t in enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        if text and len(text) > 10_000:
+            assert (r["n_words"], r["n_repeat_words"]) == (20_000, 20_000)
+            continue
+        found = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
+        assert found == brute(text), repr(text)
+        assert r["base_failed"] == (found[0] < 10 or 100 * found[4] > 20 * found[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_rules(documents):
+    prose = "Thst the one of and in to that thing is here for all with this as it was and the end of it."
+    rows = {
+        1: prose,
+        2: " ".join(f"{w}%%%" for w in prose.split()),
+        3: " | ".join(prose.split()),
+        4: " ".join(f"zzz{k}" for k in range(80)),
+        5: "\n".join(["the line of this", "and"] * 5 + [f"one {k}" for k in range(5)]),
+        6: " ".join("supercalifragilistic" * 3 + str(k) for k in range(20)),
+        7: None,
+    }
+    docs = documents(*({"doc_id": k, "text": t, "_measures": "mine"} for k, t in rows.items()))
+    assert {r["doc_id"] for r in quality.judge(docs).filter("kept").collect()} == {1}
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert [(r["doc_id"], r["text"], r["_measures"]) for r in kept.collect()] == [(1, prose, "mine")]
+
+
+def test_odd_rows(documents):
+    same = {"doc_id": None, "text": "a b"}
+    assert [r["n_words"] for r in quality.judge(documents(same, same)).collect()] == [2, 2]
+    assert quality.judge(documents()).collect() == []
+
+
+def test_no_python_in_the_plan(documents):
+    plan = quality.judge(documents())._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan

@@ -1,0 +1,92 @@
+import base64
+import gzip
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.llm import warc
+
+ROWS = [
+    (1, "https://a.example.com/x?q=1", "<p>one</p>"),
+    (2, "https://b.example.com/", "<p>one</p>"),
+    (3, "http://example.org", None),
+    (4, None, ""),
+    (5, "no scheme", "é\r\n\r\nWARC/1.1\r\n"),
+    (6, "https://a.example.com/x?q=1", "other"),
+    (6, "https://a.example.com/x?q=1", "other"),
+    (None, "http://c.example.com:8080/é ü\r\nX-Evil: 1", "nobody's"),
+    (None, "http://c.example.com", "<p>one</p>"),
+    (9, "http://long.example.com", "long " * 300_000),
+]
+
+
+@pytest.fixture()
+def pages(spark):
+    return spark.createDataFrame(ROWS, "page_id long, url string, html string").withColumn("key", F.lit("clash")).repartition(3)
+
+
+def expected(rows):
+    out = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        ids = [j for j, _, h in rows if (h or "") == (html or "") and j is not None]
+        first = min(ids, default=None)
+        revisit = first is not None and i != first
+        sha = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((i, len(payload), sha, "revisit" if revisit else "response", first if revisit else None, True))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block, archive", [(2000, 1 << 28), (2, 1000)])
+def test_round_trip(spark, pages, block, archive):
+    folder = warc.archive_folder(spark)
+    captures = warc.write_archives(pages, folder, archive=archive)
+    index = warc.write_index(captures, folder, block)
+    found = warc.read_records(warc.lookup(captures.select("key"), index, folder), folder)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(ROWS)
+
+
+def test_archives_are_whole_gzip_files(spark, pages):
+    folder = warc.archive_folder(spark)
+    captures = warc.write_archives(pages, folder)
+    files, root = warc._system(folder)
+    total = 0
+    for name in {r["file"] for r in captures.collect()}:
+        with files.open_input_file(f"{root}/{name}") as f:
+            total += gzip.decompress(f.read()).count(b"WARC/1.1\r\nWARC-Type: ")
+    assert total == len(ROWS)
+
+
+def test_lookup_over_many_blocks(spark):
+    rows = [(f"com,{'x' * (k % 3)}{k % 40:03d})/", k, "f", k, 1) for k in range(2000)] + [("hot", k, "f", k, 1) for k in range(3000)]
+    captures = spark.createDataFrame(rows, warc.CAPTURE)
+    folder = warc.archive_folder(spark)
+    index = warc.write_index(captures, folder, block=7)
+    keys = ["hot", "com,005)/", "com,xx038)/", "absent", "", "zzz", None, "hot"]
+    found = warc.lookup(spark.createDataFrame([(k,) for k in keys], "key string"), index, folder).collect()
+    assert sorted(tuple(r) for r in found) == sorted(r for r in rows if r[0] in keys)
+
+
+def test_small_payloads_are_responses(spark):
+    rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
+    folder = warc.archive_folder(spark)
+    captures = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, min_payload=3)
+    kinds = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read_records(captures, folder).collect()}
+    assert kinds == {1: ("response", None), 2: ("response", None), 3: ("response", None), 4: ("revisit", 3)}
+
+
+def test_keys_and_empty_table(spark):
+    assert warc.url_key("https://WWW.Example.com:81/A?b#c") == "com,example,www:81)/A?b#c"
+    assert [warc.url_key(u) for u in (None, "", "x/y", "http://a.b?q")] == ["", "", "x/y", "b,a)?q"]
+    frame = spark.createDataFrame([("http://a.b/",), (None,)], "u string")
+    assert [r[0] for r in frame.select(warc.sort_key(F.col("u"))).collect()] == ["b,a)/", ""]
+    assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_parse_refuses_other_data():
+    with pytest.raises(ValueError):
+        warc.parse(warc._gzip(b"HTTP/1.1 200 OK\r\n\r\n"))
+    with pytest.raises(zlib.error):
+        warc.parse(b"plain")
