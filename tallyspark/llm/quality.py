@@ -104,7 +104,8 @@ def measures(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
         _repeat_words(F.col(hashes)).cast("long").alias("n_repeat_words"),
         F.size(F.filter(w, lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
     )
-    return df.withColumn(out, struct).drop(found, hashes), out
+    # A list of one, exploded: a filter on the measures would else be moved below the words and compute them in its lambdas.
+    return df.withColumn(out, F.explode(F.array(struct))).drop(found, hashes), out
 
 
 def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
