@@ -103,10 +103,14 @@ def scan(
     spark = docs.sparkSession
     constants = _permutations(spark, bands)
     known = template_shingles(spark, TEMPLATES if templates is None else templates)
-    words = docs.select("doc_id", _tokens(F.col("text")).alias("w")).filter(F.size("w") >= SHINGLE)
+    words = docs.select("doc_id", _tokens(F.col("text")).alias("w"))
     rows = words.select("doc_id", F.xxhash64("w").alias("key"), _shingles(F.col("w")).alias("s"))
     # Each window as columns next to the whole array, of which a row keeps a reference until it passes the filter.
     shifted = F.arrays_zip(*[F.slice("s", 1 + k, F.size("s")).alias(f"x{k}") for k in range(WINDOW)])
+    # A MinHash that equals a template's comes from one of its shingles, so a text without any has no window to sign.
+    # Told to the generator and not by a filter, which would be moved below and compute the shingles again.
+    all_shingles = F.array(*[F.lit(x) for x in sorted({x for _, s in known for x in s})])
+    shifted = F.when(F.arrays_overlap("s", all_shingles), shifted)
     at = rows.select("doc_id", "key", "s", F.posexplode(shifted).alias("at", "x"))
     at = at.filter((F.col("at") % STEP == 0) | (F.col("at") + WINDOW == F.size("s")))
     # Beyond the text's end a window has fewer shingles, which ``least`` skips as NULL.
