@@ -181,25 +181,44 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     columns are not looked at.
     """
     prints = staged(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")), "simhash_prints")
-    firsts = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_firsts")
-    labels = connected(staged(near_links(firsts.select("fp"), radius, tile), "simhash_links"))
-    named = firsts.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "label", F.coalesce("label", "fp")
-    )
+    named = _labelled(prints, F.min("doc_id").alias("first_id"), radius, tile)
     smallest = per_key(named, ["label"], F.min("first_id").alias("component_id"))
     by_print = apart(named.join(smallest, "label").select("fp", "component_id"), "fp")
     by_print = by_print.groupBy("fp", "_apart").agg(F.min("component_id").alias("component_id")).drop("_apart")
     return prints.join(by_print, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def _labelled(prints: DataFrame, first: Column, radius: int, tile: int) -> DataFrame:
+    """Each distinct ``fp`` once, with the aggregate ``first`` over its rows and the ``label`` of its component."""
+    firsts = staged(prints.groupBy("fp").agg(first), "simhash_firsts")
+    labels = connected(staged(near_links(firsts.select("fp"), radius, tile), "simhash_links"))
+    return firsts.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
+def _row_hash(docs: DataFrame, seed: int) -> Column:
+    """A hash of all columns; maps and variants, which can't be hashed, as JSON."""
+    plain = [
+        F.to_json(F.struct(f"`{name}`")) if "map<" in kind or "variant" in kind else F.col(f"`{name}`")
+        for name, kind in docs.dtypes
+    ]
+    return F.xxhash64(F.lit(seed), *plain)
+
+
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay when each component keeps one: its smallest ``doc_id``, all columns unchanged.
+    """The rows of ``docs`` that stay when each component keeps exactly one, all columns unchanged.
 
-    Rows with a ``doc_id`` that occurs several times are told apart by a hash of the whole row; of equal rows one stays.
-    Of a component without any ``doc_id`` all rows stay but repeated ones, as none can be named.
+    It is the row with the smallest ``doc_id``, NULL last; of several such rows the one with the least hash of the whole
+    row, and of equal rows any. What stays is chosen by row and never by ``doc_id``: distinct texts without id all stay,
+    and so do distinct texts with one id, each for its own component.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), radius)
-    firsts = found.filter("doc_id = component_id or doc_id is null and component_id is null").select("doc_id").distinct()
-    (mark,) = fresh(docs, "_first_id")
-    kept = docs.join(firsts.withColumnRenamed("doc_id", mark), docs["doc_id"].eqNullSafe(F.col(mark)), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    one, two, split = fresh(docs, "_row", "_row2", "_split")
+    # Two hashes of 64 bits name a row, since among billions of rows two may share one.
+    hashed = docs.withColumns({one: _row_hash(docs, SEED), two: _row_hash(docs, SEED + 1)})
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(one).alias("row"), F.col(two).alias("row2"))
+    prints = staged(hashed.select(fingerprints(F.col("text")).alias("fp"), rank.alias("rank")), "simhash_rows")
+    named = _labelled(prints, F.min("rank").alias("rank"), radius, TILE)
+    firsts = per_key(named, ["label"], F.min("rank").alias("rank"))
+    kept = hashed.join(firsts.select(F.col("rank.row").alias(one), F.col("rank.row2").alias(two)), [one, two], "left_semi")
+    # Of equal rows one stays. Grouped apart from the join's keys, so that many equal rows can be split in the join.
+    kept = kept.withColumn(split, F.length(F.col(one).cast("string")) < 0).dropDuplicates([one, two, split])
+    return kept.select(*[f"`{c}`" for c in docs.columns])

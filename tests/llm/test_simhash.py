@@ -107,3 +107,26 @@ def test_null_ids_and_repeated_rows(spark, documents):
     assert len(simhash.keep_first(documents(*rows)).collect()) == 1
     assert simhash.near_duplicates(documents()).collect() == []
     assert simhash.keep_first(documents()).collect() == []
+
+
+def test_each_component_keeps_one_row(spark, documents):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) for _ in range(12)]
+    prints = [brute_print(t) for t in texts]
+    assert brute_components(prints) == list(range(12))
+    a, b, c, *others = texts
+    rows = [(None, t) for t in others] + [(None, others[0])] * 3  # distinct texts without id, one of them repeated
+    rows += [(4, a), (7, a), (4, b), (2, b)]  # one id with two texts in two components
+    rows += [(5, c), (None, c)]  # a copy without id of a row with one
+    rows += [(9, None), (9, ""), (None, " ")]
+    kept = simhash.keep_first(documents(*({"doc_id": i, "text": t} for i, t in rows))).collect()
+    found = sorted(((r["doc_id"], r["text"] or "") for r in kept if (r["text"] or "").strip()), key=repr)
+    assert found == sorted([(None, t) for t in others] + [(4, a), (2, b), (5, c)], key=repr)
+    assert [r["doc_id"] for r in kept if not (r["text"] or "").strip()] == [9]
+
+
+def test_one_row_of_several_with_one_id(spark):
+    rows = [(4, "a b c d", {"k": str(k)}) for k in range(20)]
+    schema = "doc_id long, text string, `_row` map<string,string>"
+    found = [simhash.keep_first(spark.createDataFrame(x, schema).repartition(n)).collect() for x, n in ((rows, 1), (rows[::-1], 7))]
+    assert found[0] == found[1] and len(found[0]) == 1
