@@ -2,10 +2,12 @@
 
 A text's words give five-word shingles, and each run of ``WINDOW`` shingles is a window. Its MinHash under a permutation
 is the least of its shingles' hashes after an exclusive-or with the permutation's constant. A template's shingles are
-signed in the same way: a template no longer than a window as a whole, a longer one by its first, middle and last
-windows. With one row per band, a window that holds a share s of a signature's shingles among its own meets it in at
-least one of b bands with probability 1 - (1 - s)^b; a single shingle lies in ``WINDOW / STEP`` windows, so even
-a template of one shingle is missed with (1 - 1/4)^(2 * 24), about one in a million.
+signed in the same way: a template no longer than a window as a whole, a longer one by every window it has, so changed
+words hide it only if they leave no run of ``WINDOW`` shingles. With one row per band, a text's window equal to a signed
+one meets it in every band, and one whose shingles share s of both windows' together meets it in at least one of b bands
+with probability 1 - (1 - s)^b. A run of more than ``WINDOW`` shingles has an equal window; a run of just ``WINDOW`` has
+one or else two windows with three shingles of it, which are missed with (1 - 3/5)^24. A single shingle lies in
+``WINDOW / STEP`` windows, so even a template of one shingle is missed with (1 - 1/4)^(2 * 24), about one in a million.
 
 All of it is built-in functions: windows are rows only inside one stage, from which those in no band never leave.
 """
@@ -82,9 +84,8 @@ def template_shingles(spark: SparkSession, templates: dict[str, tuple[str, ...]]
 
 def _signatures(shingles: list[int], constants: list[int]) -> list[list[int]]:
     """The MinHashes of the windows by which a template is found."""
-    n = len(shingles)
-    starts = {0} if n <= WINDOW else {0, (n - WINDOW) // 2, n - WINDOW}
-    return [[min(x ^ c for x in shingles[s : s + WINDOW]) for c in constants] for s in sorted(starts)]
+    starts = range(max(1, len(shingles) - WINDOW + 1))
+    return [[min(x ^ c for x in shingles[s : s + WINDOW]) for c in constants] for s in starts]
 
 
 def scan(

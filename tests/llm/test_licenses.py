@@ -39,6 +39,28 @@ def test_against_containment(documents):
     assert found == {(k, name): c for k, t in enumerate(texts) for name, c in brute(t).items()}
 
 
+def test_scattered_edits(documents):
+    """Texts of just over 0.8 whose changes hit the first, middle and last windows, and any others."""
+    rng = random.Random(2)
+    (_, apache), (_, mit) = licenses.TEMPLATES["Apache-2.0"], licenses.TEMPLATES["MIT"]
+    texts = []
+    for template in (apache, mit):
+        whole = re.findall(r"[^\W_]+", template)
+        mid = (len(whole) - 8) // 2 + 5
+
+        def changed(*at):
+            return " ".join("other" if k in at else w for k, w in enumerate(whole))
+
+        texts += [changed(a, m, len(whole) - 1 - z) for a in range(5) for m in range(mid - 2, mid + 3) for z in range(5)]
+        texts.append(" ".join(w if k != mid else "other" for k, w in enumerate(whole) if 4 <= k < len(whole) - 4))
+        texts += [changed(*rng.sample(range(len(whole)), rng.randrange(1, 5))) for _ in range(60)]
+        texts += [f"vor {t}" for t in texts[-20:]]
+    expected = {(k, name): c for k, t in enumerate(texts) for name, c in brute(t).items()}
+    assert sum(c < 0.83 for c in expected.values()) > 20
+    found = licenses.scan(documents(*({"doc_id": k, "text": t} for k, t in enumerate(texts)))).collect()
+    assert {(r["doc_id"], r["license"]): r["containment"] for r in found} == expected and len(found) == len(expected)
+
+
 def test_odd_rows(documents):
     line = licenses.TEMPLATES["MIT"][0]
     same = {"doc_id": None, "text": f"so it is: {line}"}
