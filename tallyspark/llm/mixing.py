@@ -2,7 +2,7 @@
 
 A source's target gives a number of whole passes over its documents and a rest. Documents are counted by exact length,
 and the rest is filled as a subset sum: an even share of each length first, then a bounded knapsack over the lengths
-that are left. Which documents of a length are taken is settled by a seeded hash, so reruns agree.
+that are left, before which sums of single long documents are chosen so that the short ones can fill what they leave. Which documents of a length are taken is settled by a seeded hash, so reruns agree.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ SEED = 42
 BUCKETS = 1024
 # Budget that the knapsack still fits once whole shares are taken, in words.
 KNAPSACK = 1 << 16
+# How many of the longest documents' lengths are left to choose among sums of long documents.
+SPARE = 12
+# How many of these sums are completed by short documents until one meets the budget.
+TRIALS = 30
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -56,9 +60,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack: int = KNAPSACK) -> np.ndarray:
     """How many documents of each length to take so that their lengths sum to ``budget`` or come as near below as can be found.
 
-    An even share of every length is taken, then single documents from the longest down, until the rest is under
-    ``knapsack``; from there the sums that the remaining documents reach are the bits of one integer for each step, with
-    counts in powers of two, and the steps are walked back from the greatest sum.
+    Lengths over half of ``knapsack`` are settled first, see ``_fit_long``. For the others an even share of every length
+    is taken, then single documents from the longest down, until the rest is under ``knapsack``; from there the sums that
+    the remaining documents reach are the bits of one integer for each step, with counts in powers of two, and the steps
+    are walked back from the greatest sum.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     total = int(lengths @ counts)
@@ -66,18 +71,12 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack:
         return np.zeros_like(counts)
     if budget >= total:
         return counts.copy()
-    share = max(0.0, (budget - knapsack / 2) / total)
-    taken = np.minimum(counts, np.floor(counts * share).astype(np.int64))
+    if ((lengths > knapsack // 2) & (counts > 0)).any():
+        return _fit_long(lengths, counts, budget, knapsack)
+    taken = _even_share(lengths, counts, budget, knapsack / 2, total)
     rest = budget - int(lengths @ taken)
     order = np.argsort(-lengths)
-    for k in order:
-        if rest <= knapsack:
-            break
-        if lengths[k]:
-            more = min(int(counts[k] - taken[k]), max(0, rest - knapsack // 2) // int(lengths[k]))
-            taken[k] += more
-            rest -= more * int(lengths[k])
-    limit = (1 << (min(rest, 2 * knapsack) + 1)) - 1
+    limit = (1 << (rest + 1)) - 1
     reach, steps = 1, []
     for k in order:
         left = int(counts[k] - taken[k])
@@ -89,7 +88,7 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack:
             reach |= (reach << (n * int(lengths[k]))) & limit
             left -= n
             part *= 2
-        if reach >> min(rest, 2 * knapsack) & 1:
+        if reach >> rest & 1:
             break
     at = reach.bit_length() - 1
     for k, n, before in reversed(steps):
@@ -100,6 +99,118 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack:
     return taken
 
 
+def _even_share(lengths: np.ndarray, counts: np.ndarray, budget: float, spare: float, total: int) -> np.ndarray:
+    """An even share of every length, then single documents from the longest down, until less than twice ``spare`` is left.
+
+    At least ``spare`` is left, which no length may exceed, or all of the budget if that is less.
+    """
+    taken = np.minimum(counts, np.floor(counts * max(0.0, (budget - spare) / total)).astype(np.int64))
+    rest = int(budget) - int(lengths @ taken)
+    for k in np.argsort(-lengths):
+        if rest <= 2 * spare:
+            break
+        if lengths[k]:
+            more = min(int(counts[k] - taken[k]), max(0, rest - int(spare)) // int(lengths[k]))
+            taken[k] += more
+            rest -= more * int(lengths[k])
+    return taken
+
+
+def _fit_long(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack: int) -> np.ndarray:
+    """``fit_lengths`` where some lengths are over half of ``knapsack``.
+
+    The long documents' even share leaves out ``SPARE`` to twice ``SPARE`` times the greatest length, for which sums of
+    single long documents are listed. A sum fits if what it leaves of the budget is no more than all short documents together. Of
+    these the ones nearest to the long documents' share, the least and the greatest are completed by short documents,
+    until one meets the budget; else the one that comes nearest counts, in this order, with single documents exchanged.
+    """
+    long = lengths > knapsack // 2
+    small = int(lengths[~long] @ counts[~long])
+    whole = int(lengths[long] @ counts[long])
+    longest = int(lengths[counts > 0].max())
+    aim = budget * whole // (whole + small)
+    base = np.where(long, _even_share(lengths, np.where(long, counts, 0), aim, SPARE * longest, whole), 0)
+    rest = budget - int(lengths @ base)
+    aim -= int(lengths @ base)
+    spare = min(rest - aim, aim - rest + small)
+    near = (aim - spare // 2, aim + spare // 2) if spare >= longest else (rest, rest)
+    of, n, parent, sums = _sums(lengths, np.where(long, counts - base, 0), min(rest, aim + longest), near, 4 * knapsack)
+    fits = np.flatnonzero(sums >= rest - small)
+    chosen = [int(np.argmax(sums))]
+    if len(fits):
+        nearest = fits[np.argsort(np.abs(sums[fits] - aim), kind="stable")[:TRIALS]]
+        chosen = nearest.tolist() + [int(fits[np.argmin(sums[fits])])] + chosen
+    best, most = None, -1
+    for node in dict.fromkeys(chosen):
+        taken = base.copy()
+        while node:
+            taken[of[node]] += n[node]
+            node = parent[node]
+        taken[~long] = fit_lengths(lengths[~long], counts[~long], budget - int(lengths @ taken), knapsack)
+        if (got := int(lengths @ taken)) > most:
+            best, most = taken, got
+        if most == budget:
+            break
+    return _exchanged(lengths, counts, best, budget - most)
+
+
+def _exchanged(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, gap: int) -> np.ndarray:
+    """Narrows the gap by the best exchange of one document taken, or none, for a longer one, until there is none."""
+    order = np.argsort(lengths)
+    while gap > 0:
+        free, used = order[(taken < counts)[order]], order[(taken > 0)[order]]
+        given = np.concatenate([[0], lengths[used]])
+        at = np.searchsorted(lengths[free], given + gap, "right") - 1
+        gains = np.where(at >= 0, lengths[free][at] - given, 0)
+        k = int(np.argmax(gains))
+        if gains[k] <= 0:
+            break
+        taken[free[at[k]]] += 1
+        if k:
+            taken[used[k - 1]] -= 1
+        gap -= int(gains[k])
+    return taken
+
+
+def _sums(
+    lengths: np.ndarray, counts: np.ndarray, top: int, enough: tuple[int, int], cells: int
+) -> tuple[list[int], list[int], list[int], np.ndarray]:
+    """Sums up to ``top`` of documents: for each the last length and its number of documents, the sum it extends, itself.
+
+    Sums are exact; of those in one of ``cells`` equal parts of the range, and of those at the very top, the first stays.
+    No more lengths are tried once a sum is within ``enough``, bounds included.
+    """
+    unit = top // cells + 1
+    held = np.full(top // unit + 2, -1)
+    held[0] = 0
+    of, many, parent, sums = [-1], [0], [-1], [np.zeros(1, np.int64)]
+    so_far = sums[0]
+    for k in np.argsort(-lengths):
+        length = int(lengths[k])
+        left = min(int(counts[k]), top // length) if length else 0
+        part = 1
+        while left > 0:
+            n = min(part, left)
+            left -= n
+            part *= 2
+            nodes = held[held >= 0]
+            new = so_far[nodes] + n * length
+            nodes, new = nodes[new <= top], new[new <= top]
+            at = np.where(new == top, len(held) - 1, new // unit)
+            free = held[at] < 0
+            at, first = np.unique(at[free], return_index=True)
+            if not len(at):
+                continue
+            held[at] = len(so_far) + np.arange(len(at))
+            of += [int(k)] * len(at)
+            many += [n] * len(at)
+            parent += nodes[free][first].tolist()
+            so_far = np.concatenate([so_far, new[free][first]])
+        if ((so_far >= enough[0]) & (so_far <= enough[1])).any():
+            break
+    return of, many, parent, so_far
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,

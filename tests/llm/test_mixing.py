@@ -47,6 +47,32 @@ def test_fit_of_large_budgets():
     assert mixing.fit_lengths(np.array([10**7]), np.array([4]), 25 * 10**6).tolist() == [2]
 
 
+def test_fit_of_very_long_documents():
+    fit = lambda lengths, counts, budget: mixing.fit_lengths(np.array(lengths), np.array(counts), budget).tolist()
+    for length in (32_769, 70_000, 131_073, 150_000, 200_003, 10**7):
+        for n in (1, 2, 3, 4, 39, 40):
+            for over in (0, 1, 10_000, 32_767, length - 1):
+                assert fit([length], [40], n * length + over) == [n]
+    assert fit([200_000], [4], 210_000) == [1] and fit([200_000], [40], 820_000) == [4] and fit([150_000], [10], 160_000) == [1]
+    # Few short documents beside long ones: a long one must not miss its place to an even share of the short ones.
+    for budget in range(100_000, 2_100_001, 5_000):
+        fits = any(0 <= budget - 200_000 * k <= 100_000 for k in range(11))
+        taken = fit([200_000, 5_000], [10, 20], budget)
+        got = 200_000 * taken[0] + 5_000 * taken[1]
+        assert 0 <= taken[0] <= 10 and 0 <= taken[1] <= 20
+        assert got == budget if fits else got == budget // 200_000 * 200_000 + 100_000
+
+
+def test_fit_of_many_long_and_short_documents():
+    rng = np.random.default_rng(9)
+    lengths = np.unique(np.concatenate([rng.integers(1, 9_000, 500), rng.integers(32_000, 2_000_000, 300)]))
+    counts = rng.integers(1, 4, len(lengths))
+    for share in (0.0001, 0.013, 0.4, 0.97):
+        budget = int(share * (lengths @ counts))
+        taken = mixing.fit_lengths(lengths, counts, budget)
+        assert ((taken >= 0) & (taken <= counts)).all() and int(taken @ lengths) == budget
+
+
 @pytest.mark.parametrize("shape", [{"a": 90, "b": 6, "c": 4}, {"a": 2, "b": 3, "c": 5, "d": 90, None: 7}, {"only": 5}])
 def test_mix(spark, documents, shape):
     rng = random.Random(8)
