@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import chat, quality, topk, url_filter
+from tallyspark.llm import chat, codes, quality, topk, url_filter
 
 _SPACE = r"[\x20\x09-\x0D]"
 # The words of a text, and a text's characters without those of a set.
@@ -106,10 +106,54 @@ select conv_id, n_turns, place // {chat.SEGMENT} as segment,
     string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10) || coalesce("text", '') || '{chat.CLOSE}' || chr(10), '' order by place) as rendered
 from kept join numbered using (conv_id) group by all"""
 
+
+
+def _nearest(name: str, book: str) -> str:
+    """Each part's nearest entry and its squared distance; the lower number first among equals."""
+    off = "(w[i] - c[i]) * (w[i] - c[i])"
+    return f"""{name} as (
+    select k, p, any_value(w) as w, min(d * {codes.ENTRIES} + e) % {codes.ENTRIES} as e, min(d) as d from (
+        select k, p, w, e, list_sum(list_transform(range(1, len(w) + 1), lambda i: {off}))::bigint as d
+        from parts join {book} using (p)
+    ) group by k, p
+)"""
+
+
+def _means(name: str, assigned: str, book: str) -> str:
+    """The floored means of each entry's parts; entries without any stay."""
+    return f"""{name} as (
+    select p, e, coalesce(m, c) as c from {book} left join (
+        select p, e, list(m order by i) as m from (
+            select p, e, i, floor(sum(w[i]) / count(*))::bigint as m from {assigned}, range(1, len(w) + 1) r(i) group by p, e, i
+        ) group by p, e
+    ) using (p, e)
+)"""
+
+
+# All vectors of the test tables have one length, which the parts divide.
+_CODES = f"""with kept as (
+    select *, row_number() over (order by vec_id, v) - 1 as k from (
+        select vec_id, label, list_transform(embedding, lambda x: floor(x::double * {codes.SCALE})::bigint) as v from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    )
+), parts as (
+    select k, p, v[p * len(v) // {codes.PARTS} + 1:(p + 1) * len(v) // {codes.PARTS}] as w from kept, range({codes.PARTS}) r(p)
+), book0 as (
+    select p, k as e, w as c from parts where k < {codes.ENTRIES}
+), {_nearest("near0", "book0")}, {_means("book1", "near0", "book0")},
+{_nearest("near1", "book1")}, {_means("book2", "near1", "book1")}, {_nearest("near2", "book2")},
+coded as (
+    select k, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from near2 group by k
+)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, (
+    select sha256(string_agg(x::varchar, ',' order by p, e, i)) from (select p, e, i, c[i] as x from book2, range(1, len(c) + 1) r(i))
+) as codebooks_sha256 from kept join coded using (k)"""
+
 ORACLES = {
     "op2_quality_rules": _QUALITY,
     "op3_topk": _TOP,
     "op4_warc": _WARC,
     "op7_url_filter": _URLS,
     "op8_chat_format": _CHAT,
+    "op11_vector_codes": _CODES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import chat, licenses, mixing, packing, quality, simhash, topk, toxicity, url_filter, warc
+from tallyspark.llm import byte_bpe, chat, codes, licenses, mixing, packing, quality, simhash, topk, toxicity, url_filter, warc, whitening
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,28 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@_query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, folder, "embeddings"))
+    text = F.lit(None).cast("string")
+    for length, own in books.items():
+        text = F.when(F.col("length") == length, F.lit(own.text())).otherwise(text)
+    return coded.select("vec_id", "code", "error", "label_error", F.sha2(text, 256).alias("codebooks_sha256"))
+
+
+@_query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@_query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    found = byte_bpe.encode_texts(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
