@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import fresh, words
+from tallyspark.llm.simhash import row_hash
 from tallyspark.operators.joins import per_key
 from tallyspark.sources.staging import staged
 
@@ -232,10 +233,12 @@ def _hash(seed: int, *columns: str) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def _mixed_rows(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
-    """``docs`` without texts, with ``size``, ``source_size``, ``target``, ``copies``."""
+def _mixed_rows(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, *more: Column) -> DataFrame:
+    """``docs`` without texts, with ``size``, ``source_size``, ``target``, ``copies``, and columns that name a row."""
     order = _hash(seed, "doc_id", "text")
-    sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), order.alias("order"))
+    sized = docs.select(
+        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), order.alias("order"), *more
+    )
     sized = staged(sized.withColumn("bucket", F.pmod(F.shiftright("order", 40), F.lit(BUCKETS)).cast("int")), "mix_sizes")
     return _choose(sized, weights, most)
 
@@ -289,12 +292,20 @@ def _choose(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the mix takes it, all columns unchanged.
 
-    Rows equal in ``doc_id`` and ``text`` are taken alike, each as often as all of them can be. Texts without words may
-    be in it, they spend no budget.
+    Of rows equal in all columns one is repeated as often as the mix takes all of them together, so a source has exactly
+    the words that ``mix`` counts. NULL and empty texts may be in it, they spend no budget; a NULL source or id is a value
+    like any other; texts may have any length; an empty table gives no row.
     """
-    chosen = _mixed_rows(docs.select("doc_id", "source", "text"), weights, most, seed)
-    copies = per_key(chosen, ["order"], F.floor(F.avg("copies")).cast("int").alias("copies"))
-    key, n, one = fresh(docs, "_order", "_copies", "_copy")
-    keyed = docs.withColumn(key, _hash(seed, "doc_id", "text"))
-    taken = keyed.join(copies.select(F.col("order").alias(key), F.col("copies").alias(n)), key)
-    return taken.withColumn(one, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*[f"`{c}`" for c in docs.columns])
+    one, two, n, rows, copy, split = fresh(docs, "_row", "_row2", "_copies", "_rows", "_copy", "_split")
+    # Two hashes of 64 bits name a row, since among billions of rows two may share one.
+    keys = {one: row_hash(docs, seed), two: row_hash(docs, seed + 1)}
+    chosen = _mixed_rows(docs, weights, most, seed, *[c.alias(name) for name, c in keys.items()])
+    total, count = F.sum("copies").cast("int").alias(n), F.count(F.lit(1)).alias(rows)
+    copies = staged(per_key(chosen, [one, two], total, count).filter(F.col(n) > 0), "mix_copies")
+    keyed = docs.withColumns(keys)
+    single = keyed.join(copies.filter(F.col(rows) == 1), [one, two])
+    equal = keyed.join(copies.filter(F.col(rows) > 1), [one, two])
+    # Grouped apart from the join's keys, so that many equal rows can be split in the join.
+    equal = equal.withColumn(split, F.length(F.col(one).cast("string")) < 0).dropDuplicates([one, two, split]).drop(split)
+    taken = single.unionByName(equal)
+    return taken.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*[f"`{c}`" for c in docs.columns])

@@ -195,25 +195,29 @@ def _labelled(prints: DataFrame, first: Column, radius: int, tile: int) -> DataF
     return firsts.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
 
 
-def _row_hash(docs: DataFrame, seed: int) -> Column:
-    """A hash of all columns; maps and variants, which can't be hashed, as JSON."""
-    plain = [
-        F.to_json(F.struct(f"`{name}`")) if "map<" in kind or "variant" in kind else F.col(f"`{name}`")
-        for name, kind in docs.dtypes
-    ]
-    return F.xxhash64(F.lit(seed), *plain)
+def row_hash(docs: DataFrame, seed: int) -> Column:
+    """A hash of all columns in which a NULL counts where it stands; nested values go in as JSON with their NULLs."""
+    nested = ("map<", "variant", "struct<", "array<")
+    values = []
+    for name, kind in docs.dtypes:
+        column = F.col(f"`{name}`")
+        whole = F.to_json(F.struct(column.alias("c")), {"ignoreNullFields": "false"}) if any(n in kind for n in nested) else column
+        values += [column.isNull(), whole]
+    return F.xxhash64(F.lit(seed), *values)
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps exactly one, all columns unchanged.
 
     It is the row with the smallest ``doc_id``, NULL last; of several such rows the one with the least hash of the whole
-    row, and of equal rows any. What stays is chosen by row and never by ``doc_id``: distinct texts without id all stay,
-    and so do distinct texts with one id, each for its own component.
+    row, and of equal rows one. What stays is chosen by row and never by ``doc_id``: distinct texts without id all stay,
+    and so do distinct texts with one id, each for its own component. NULL and empty texts are one component. A NULL counts
+    in the hash where it stands, so rows that have the same values in other columns are not equal. Columns may have any
+    names; an empty table gives no row.
     """
     one, two, split = fresh(docs, "_row", "_row2", "_split")
     # Two hashes of 64 bits name a row, since among billions of rows two may share one.
-    hashed = docs.withColumns({one: _row_hash(docs, SEED), two: _row_hash(docs, SEED + 1)})
+    hashed = docs.withColumns({one: row_hash(docs, SEED), two: row_hash(docs, SEED + 1)})
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(one).alias("row"), F.col(two).alias("row2"))
     prints = staged(hashed.select(fingerprints(F.col("text")).alias("fp"), rank.alias("rank")), "simhash_rows")
     named = _labelled(prints, F.min("rank").alias("rank"), radius, TILE)
