@@ -247,12 +247,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``text`` and ``toxic`` of at most ``sample`` labelled rows, those with the least seeded hash of their id."""
+    """``doc_id``, ``text`` and ``toxic`` of at most ``sample`` labelled ids, those with the least seeded hash.
+
+    An id that several rows have counts once, with the least of their texts, so there are no more rows than ids.
+    """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
     # At most ``sample`` pairs of numbers, hence small enough for every executor at any size of the tables.
     small = F.broadcast(chosen.limit(sample))
-    return docs.select("doc_id", "text").join(small, "doc_id").select("doc_id", "text", "toxic")
+    found = docs.select("doc_id", "text").join(small, "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def _beginnings(word: Column) -> Column:
@@ -263,7 +267,8 @@ def _beginnings(word: Column) -> Column:
 def landmarks(rows: DataFrame, count: int = LANDMARKS) -> list[str]:
     """Words and stems of many toxic training texts and few clean ones, the most telling first.
 
-    Texts are counted twice. The first count gives at most ``CANDIDATES`` strings. In the second, a string counts once for
+    Texts are counted twice. The first count gives at most ``CANDIDATES`` strings of ``ORDER + 1`` to ``STRETCH`` characters;
+    if more are in ``MIN_SHARE`` of the toxic texts, that share is doubled until no more are. In the second, a string counts once for
     each text that is the first with some word before it, so that neither the common words of many copies of one toxic
     text nor those of one long text look telling. Of two strings of which one begins the other the more frequent stays,
     or the longer. At most ``CANDIDATES`` strings come to the driver.
@@ -273,9 +278,9 @@ def landmarks(rows: DataFrame, count: int = LANDMARKS) -> list[str]:
     if not bad or not good:
         return []
 
-    def telling(counts: DataFrame) -> DataFrame:
+    def telling(counts: DataFrame, share: float = MIN_SHARE) -> DataFrame:
         ratio = (F.col("bad") / bad) / ((F.col("good") + 0.5) / good)
-        enough = F.col("bad") >= F.greatest(F.lit(3.0), F.lit(MIN_SHARE * bad))
+        enough = F.col("bad") >= F.greatest(F.lit(3.0), F.lit(share * bad))
         return counts.filter(enough & (ratio >= MIN_RATIO)).orderBy(F.col("bad").desc(), F.length("word").desc(), "word")
 
     parted = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
@@ -283,7 +288,10 @@ def landmarks(rows: DataFrame, count: int = LANDMARKS) -> list[str]:
     own = F.array_distinct(F.flatten(F.transform(F.array_distinct("words"), _beginnings)))
     seen = parts.select("toxic", F.explode(own).alias("word")).filter(F.length("word").between(ORDER + 1, STRETCH))
     counts = seen.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    known = [r["word"] for r in telling(counts).limit(CANDIDATES).collect()]
+    known, share = list(range(CANDIDATES + 1)), MIN_SHARE
+    while len(known) > CANDIDATES:
+        known = [r["word"] for r in telling(counts, share).limit(CANDIDATES + 1).collect()]
+        share *= 2
     pairs = F.arrays_zip(F.slice("words", 2, F.size("words")).alias("word"), F.col("words").alias("before"))
     near = parts.select("doc_id", "toxic", F.explode(pairs).alias("p")).select("doc_id", "toxic", "p.before", F.explode(_beginnings(F.col("p.word"))).alias("word"))
     firsts = near.filter(F.col("word").isin(known)).groupBy("word", "before").agg(F.min(F.struct("doc_id", "toxic")).alias("first"))

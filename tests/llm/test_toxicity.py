@@ -112,3 +112,18 @@ def test_sample_is_bounded(corpus):
     docs, labels = corpus
     assert X.training_rows(docs, labels, 50).count() == 50
     assert np.isin([r["toxic"] for r in X.training_rows(docs, labels, 50).collect()], [0, 1]).all()
+
+
+def test_repeated_ids_are_one_row(documents, spark):
+    docs = documents(*[{"doc_id": 1, "text": f"text {k}"} for k in range(500)], {"doc_id": 3, "text": "other"})
+    labels = spark.createDataFrame([(1, 1), (3, 0), (3, 0)], "doc_id long, toxic int")
+    found = sorted(tuple(r) for r in X.training_rows(docs, labels, 10).collect())
+    assert found == [t for t in [(1, "text 0", 1), (3, "other", 0)] if t[0] in {r["doc_id"] for r in labels.filter(~X.held_out(labels.doc_id)).collect()}]
+    assert found
+
+
+def test_more_candidates_raise_the_share(corpus, monkeypatch):
+    rows = X.training_rows(*corpus)
+    whole = X.landmarks(rows)
+    monkeypatch.setattr(X, "CANDIDATES", 6)
+    assert X.landmarks(rows) and set(X.landmarks(rows)) <= set(whole)
