@@ -53,7 +53,7 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.round_trip(table(spark, folder, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return found
 
 
 @_query

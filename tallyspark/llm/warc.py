@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
@@ -34,8 +35,10 @@ from tallyspark.sources.staging import staged, staging_path
 # Bytes after which a task begins another archive, and lines of an index block.
 ARCHIVE = 256 << 20
 BLOCK = 2000
-# Index files at most; their bounds are what the driver and each task hold.
+# Index files of few captures at most, and captures of one file from which on there are more files; their bounds are what
+# the driver and each task hold, about 200 bytes for each file.
 INDEX_FILES = 512
+FILE_CAPTURES = 1 << 21
 MIN_PAYLOAD = 0
 # Names and media types of the format.
 VERSION = "WARC/1.1"
@@ -43,7 +46,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 _DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 CAPTURE = "key string, page_id long, file string, offset long, length long"
-RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, matches boolean"
+RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+# Characters of a URI that stay as they are; all others are percent-encoded.
+_URI = "!#$%&'()*+,/:;=?@[]~"
 
 
 def digest(payload: bytes) -> str:
@@ -72,7 +77,7 @@ def record(url: str | None, page_id: int | None, payload: bytes, sha: str, refer
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": f"<{_record_id(page_id, sha, place if revisit else '')}>",
         "WARC-Date": _DATE,
-        "WARC-Target-URI": json.dumps(url or "", ensure_ascii=True)[1:-1],
+        "WARC-Target-URI": quote(url or "", safe=_URI),
         "WARC-Payload-Digest": f"sha1:{sha}",
         "WARC-Payload-Length": str(len(payload)),
     }
@@ -104,9 +109,17 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the file system that Spark takes it on, which tasks then don't have to guess."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    # Arrow wants an empty host to be written out.
+    return whole if "://" in whole else whole.replace(":/", ":///", 1)
+
+
 @lru_cache(8)
 def _system(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(folder)
 
 
 class _Writer:
@@ -141,7 +154,7 @@ def _ranges(folder: str, name: str, wanted: list[tuple[int, int]]) -> Iterator[b
 
 
 def write_archives(pages: DataFrame, folder: str, min_payload: int = MIN_PAYLOAD, archive: int = ARCHIVE) -> DataFrame:
-    """Writes a record for each row of ``page_id, url, html`` to archives in ``folder``; returns the captures, stored.
+    """Writes a record for each row of ``page_id, url, html`` to archives in ``folder``, a ``qualified`` one; returns the captures, stored.
 
     Of rows with equal payloads of at least ``min_payload`` bytes those with the smallest ``page_id`` are responses and
     the others revisit it; if all of them have a NULL id, all are responses. Shorter payloads are all responses.
@@ -172,14 +185,18 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = MIN_PAYLOAD
     return staged(rows.mapInPandas(write, CAPTURE), "warc_captures")
 
 
-def write_index(captures: DataFrame, folder: str, block: int = BLOCK, files: int = INDEX_FILES) -> DataFrame:
+def write_index(
+    captures: DataFrame, folder: str, block: int = BLOCK, files: int = INDEX_FILES, file_captures: int = FILE_CAPTURES
+) -> DataFrame:
     """Packs the captures, sorted by key, into index files with a directory each; returns the files' bounds, stored.
 
-    Captures of one key may fill many blocks and several files: lines are spread by key, archive and offset.
+    Captures of one key may fill many blocks and several files: lines are spread by key, archive and offset. There are as
+    many files as keep one to about ``file_captures``, and with fewer captures one for each task, up to ``files``.
     """
     partitions = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "file", "offset"]
-    lines = captures.repartitionByRange(min(files, partitions), *order).sortWithinPartitions(*order)
+    n = max(min(files, partitions), -(-captures.count() // file_captures))
+    lines = captures.repartitionByRange(n, *order).sortWithinPartitions(*order)
     lines = lines.select("key", F.to_json(F.struct("key", "page_id", "file", "offset", "length")).alias("line"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,7 +227,7 @@ def write_index(captures: DataFrame, folder: str, block: int = BLOCK, files: int
 def lookup(keys: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     """The captures of each key in the column ``key``, by bisection over files and blocks; unknown keys have none.
 
-    The bounds of at most ``INDEX_FILES`` index files go to every task. A key's blocks are dealt out one by one, so one
+    The bounds of the index files, one for each of ``FILE_CAPTURES`` captures, go to every task. A key's blocks are dealt out one by one, so one
     with very many captures is read by many tasks.
     """
     # Code points sort like the bytes of UTF-8, so Python's order is Spark's.
@@ -250,19 +267,27 @@ def lookup(keys: DataFrame, index: DataFrame, folder: str) -> DataFrame:
 
 
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
-    """``RECORD`` of each capture from its range of its archive; ``matches`` says whether the payload has its digest."""
+    """``RECORD`` of each capture from its range of its archive.
+
+    Size and digest of a response are those of the payload that was read, and an error if the record names others; a
+    revisit has no payload and gives what it names.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for name, group in batch.groupby("file"):
                 group = group.sort_values("offset")
-                for member in _ranges(folder, name, list(zip(group["offset"].tolist(), group["length"].tolist()))):
+                wanted = list(zip(group["offset"].tolist(), group["length"].tolist()))
+                for (offset, _), member in zip(wanted, _ranges(folder, name, wanted)):
                     headers, payload = parse(member)
-                    sha = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                    ids = [None if (x := headers.get(h)) is None else int(x) for h in ("WARC-Page-ID", "WARC-Refers-To-Page-ID")]
+                    named = int(headers["WARC-Payload-Length"]), headers["WARC-Payload-Digest"].removeprefix("sha1:")
                     kind = headers["WARC-Type"]
-                    out.append((ids[0], int(headers["WARC-Payload-Length"]), sha, kind, ids[1], kind == "revisit" or digest(payload) == sha))
+                    found = named if kind == "revisit" else (len(payload), digest(payload))
+                    if found != named:
+                        raise ValueError(f"damaged record at {offset} of {name}: {found} instead of {named}")
+                    ids = [None if (x := headers.get(h)) is None else int(x) for h in ("WARC-Page-ID", "WARC-Refers-To-Page-ID")]
+                    out.append((ids[0], *found, kind, ids[1]))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in RECORD.split(", ")])
             yield frame.assign(page_id=frame["page_id"].astype("Int64"), refers_to=frame["refers_to"].astype("Int64"))
 
@@ -272,7 +297,7 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
 
 def archive_folder(spark: SparkSession) -> str:
     """A new folder for archives in the shared folder."""
-    return staging_path(spark, "warc")
+    return qualified(spark, staging_path(spark, "warc"))
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -281,7 +306,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     NULL pages have an empty payload; a NULL URL is found under the empty key. Repeated rows have a record each, and
     those with the smallest id are all responses. An empty table gives no row; other columns are not looked at.
     """
-    folder = folder or archive_folder(pages.sparkSession)
+    folder = qualified(pages.sparkSession, folder) if folder else archive_folder(pages.sparkSession)
     captures = write_archives(pages, folder)
     index = write_index(captures, folder)
     return read_records(lookup(captures.select("key"), index, folder), folder)

@@ -35,7 +35,7 @@ def expected(rows):
         first = min(ids, default=None)
         revisit = first is not None and i != first
         sha = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-        out.append((i, len(payload), sha, "revisit" if revisit else "response", first if revisit else None, True))
+        out.append((i, len(payload), sha, "revisit" if revisit else "response", first if revisit else None))
     return sorted(out, key=str)
 
 
@@ -90,3 +90,35 @@ def test_parse_refuses_other_data():
         warc.parse(warc._gzip(b"HTTP/1.1 200 OK\r\n\r\n"))
     with pytest.raises(zlib.error):
         warc.parse(b"plain")
+
+
+def test_damaged_archive(spark, pages):
+    """A payload that isn't the one its record names is an error, also where the record itself can be read."""
+    folder = warc.archive_folder(spark)
+    one = spark.createDataFrame([(1, "http://a.example/", "sound page")], "page_id long, url string, html string")
+    (capture,) = warc.write_archives(one, folder).collect()
+    files, root = warc._system(folder)
+    with files.open_input_file(f"{root}/{capture['file']}") as f:
+        data = gzip.decompress(f.read()).replace(b"sound page", b"other page")
+    with files.open_output_stream(f"{root}/{capture['file']}", compression=None) as f:
+        f.write(warc._gzip(data))
+    again = spark.createDataFrame([(*capture[:4], len(warc._gzip(data)))], warc.CAPTURE)
+    with pytest.raises(Exception, match="damaged record"):
+        warc.read_records(again, folder).collect()
+
+
+def test_uris_are_percent_encoded():
+    head = warc.record("http://\u00e9.example/a b\r\nX: 1", 1, b"", "S", None, False, "").split(b"\r\n\r\n")[0].decode()
+    assert "WARC-Target-URI: http://%C3%A9.example/a%20b%0D%0AX:%201\r\n" in head
+
+
+def test_folders_are_on_sparks_file_system(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert warc.qualified(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+
+
+def test_more_captures_have_more_index_files(spark):
+    rows = [(f"k{k:04d}", k, "f", k, 1) for k in range(1000)]
+    folder = warc.archive_folder(spark)
+    index = warc.write_index(spark.createDataFrame(rows, warc.CAPTURE), folder, file_captures=40)
+    assert index.count() >= 20
