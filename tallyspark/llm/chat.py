@@ -23,6 +23,8 @@ BLOCK = 64
 SEGMENT = 256
 # The marks around a rendered turn.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
+# How both marks begin, and what stands in its place in roles and texts.
+MARK, ESCAPED = "<|im_", "<| im_"
 
 
 def _order() -> list[Column]:
@@ -84,13 +86,15 @@ def render(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """``conv_id``, ``n_turns``, ``segment`` and ``rendered`` of each conversation that stays.
 
     A turn is rendered as its role and text between marks; a conversation of more than ``segment`` turns has several
-    segments that follow each other, so that none has to fit in memory whole. NULL roles and texts are rendered as empty;
+    segments that follow each other, so that none has to fit in memory whole. What could be taken for a mark in a role or a
+    text has a space put into it, so neither can pass for turns of its own. NULL roles and texts are rendered as empty;
     a NULL ``conv_id`` is a conversation like any other, and of equal ones an id that isn't NULL stays. Repeated rows are
     turns of their own. An empty table gives no row; other columns are not looked at.
     """
     rows = placed(turns.select("conv_id", "turn", "role", "text"))
     kept = staged(maximal(rows), "chat_kept").select(F.col("conv_id").alias("of"), "n_turns")
-    text = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE + "\n"))
+    own = [F.replace(F.coalesce(c, F.lit("")), F.lit(MARK), F.lit(ESCAPED)) for c in ("role", "text")]
+    text = F.concat(F.lit(OPEN), own[0], F.lit("\n"), own[1], F.lit(CLOSE + "\n"))
     turn = F.struct("place", text.alias("text"))
     numbered = rows.withColumn("segment", F.floor(F.col("place") / segment))
     parts = numbered.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_list(turn)).alias("turns"))

@@ -91,6 +91,11 @@ select page_id, host, path, rule, strict_terms, soft_terms, case
     when rule in ({", ".join(f"'{r.name}'" for r in _BY_LENGTH if r.allow)}) then 'allow' when rule is not null then 'block'
     when strict_terms > 0 or soft_terms >= {url_filter.SOFT_HITS} then 'block' else 'allow' end as verdict from judged"""
 
+
+def _escaped(column: str) -> str:
+    return f"replace(coalesce({column}, ''), '{chat.MARK}', '{chat.ESCAPED}')"
+
+
 # A conversation's turns as a list; one is dropped if it begins a longer list or equals that of a smaller id.
 _CHAT = f"""with numbered as (
     select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, "text" nulls first) - 1 as place
@@ -103,7 +108,7 @@ _CHAT = f"""with numbered as (
     select min(conv_id) as conv_id, any_value(n_turns) as n_turns from convs anti join prefixes using (turns) group by turns
 )
 select conv_id, n_turns, place // {chat.SEGMENT} as segment,
-    string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10) || coalesce("text", '') || '{chat.CLOSE}' || chr(10), '' order by place) as rendered
+    string_agg('{chat.OPEN}' || {_escaped("role")} || chr(10) || {_escaped('"text"')} || '{chat.CLOSE}' || chr(10), '' order by place) as rendered
 from kept join numbered using (conv_id) group by all"""
 
 
