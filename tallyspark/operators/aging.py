@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.ageing import CREDIT_ROW, JOURNAL_ROW, bucket_columns
 from tallyspark.functions.dates import AsOf, as_of_column
 from tallyspark.operators.joins import APART, apart, per_key
+from tallyspark.sources.staging import staged
 
 # Codes of detail lines and transaction headers, the account type of payables, and the party of journal
 # lines that name none.
@@ -337,11 +338,14 @@ def vendor_credit(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: A
     used = drawn.join(lines, "APTransactionID").select(
         "APTransactionID", (F.col("_drawn") * F.col("_lines")).alias("_used")
     )
+    return _open_credit_rows(_credit_headers(txns).join(used, "APTransactionID", "left"), as_of)
+
+
+def _open_credit_rows(credits: DataFrame, as_of: AsOf) -> DataFrame:
+    """Credits with what is ``_used`` of them as balance rows."""
     dated = F.coalesce(F.col("TransactionDate") <= as_of_column(as_of), F.lit(False))
     return (
-        _credit_headers(txns)
-        .join(used, "APTransactionID", "left")
-        .filter(dated | F.col("_used").isNotNull())
+        credits.filter(dated | F.col("_used").isNotNull())
         .groupBy("PayeeID", "ParentAccountID")
         .agg(
             F.max(F.when(dated, F.col("TransactionDate"))).alias("BillDate"),
@@ -359,6 +363,44 @@ def vendor_credit(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: A
     )
 
 
+def credit_state(txns: DataFrame, details: DataFrame, uses: DataFrame, as_of: AsOf = None) -> tuple[DataFrame, DataFrame]:
+    """What a report needs of vendor credits, from one scan of the lines and one of the uses; both stored.
+
+    First every credit with the number of its credit lines, of any date and up to ``as_of``; then the number and amount
+    of the dated uses per (credit, bill).
+    """
+    on_time = F.coalesce(F.col("TransactionDate") <= as_of_column(as_of), F.lit(False))
+    lines = _credit_lines(details).select(F.col("ApTransactionID").alias("APTransactionID"), on_time.alias("_on_time"))
+    counts = per_key(
+        lines, ["APTransactionID"], F.count(F.lit(1)).alias("_all_lines"), F.count_if("_on_time").alias("_lines")
+    )
+    own = ["APTransactionID", "PayeeID", "ParentAccountID", "TransactionDate", "TransactionAmount"]
+    credits = _credit_headers(txns).select(*own).join(counts, "APTransactionID", "left")
+    drawn = (
+        _dated_uses(uses, as_of)
+        .groupBy("APTransactionID", "VendorBillID")
+        .agg(F.count(F.lit(1)).alias("_uses"), F.sum("Amount").alias("_drawn"))
+    )
+    return staged(credits, "vendor_credits"), staged(drawn, "drawn_credit")
+
+
+def credit_used_by_bill(credits: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Vendor credit drawn per (bill, payee) from ``credit_state``, as ``_credit_used``."""
+    dated = credits.filter(F.col("_lines") > 0).select("APTransactionID", "PayeeID", "_lines")
+    return (
+        drawn.join(dated, "APTransactionID")
+        .groupBy("VendorBillID", "PayeeID")
+        .agg(F.sum(F.col("_drawn") * F.col("_lines")).alias("_credit_used"))
+    )
+
+
+def open_credit(credits: DataFrame, drawn: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Same rows as ``vendor_credit`` from ``credit_state``."""
+    per_credit = per_key(drawn, ["APTransactionID"], F.sum(F.coalesce("_drawn", F.lit(0))).alias("_sum"))
+    used = F.when(F.col("_all_lines") > 0, F.col("_sum") * F.col("_all_lines"))
+    return _open_credit_rows(credits.join(per_credit, "APTransactionID", "left").withColumn("_used", used), as_of)
+
+
 def journal_balance(txns: DataFrame, details: DataFrame, accounts: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Journal effect per (payable account, line party) from journals dated up to ``as_of``, as rows of the report."""
     payables = accounts.filter(F.col("AccountTypeID") == PAYABLE_ACCOUNT_TYPE).select(

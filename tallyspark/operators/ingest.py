@@ -13,6 +13,9 @@ from tallyspark.functions.types import column_type, runtime_name
 from tallyspark.sources.staging import staged
 
 _CORRUPT = "_corrupt_record"
+# Columns of a reject's text, and of whether a row is a record or a reject.
+RAW = "raw"
+KIND = "kind"
 # monotonically_increasing_id puts the partition number above this many bits of position.
 _POSITION_BITS = 33
 
@@ -133,12 +136,13 @@ class JsonRecords(NamedTuple):
     rejects: DataFrame
 
 
-def json_records(df: DataFrame, column: str, schema: T.StructType | str) -> JsonRecords:
+def json_records(df: DataFrame, column: str, schema: T.StructType | str, split: bool = True) -> JsonRecords | DataFrame:
     """Typed records from a JSON text column, and the rows that could not be read as such, with their text as ``raw``.
 
     Each row is in exactly one of the two. A record is one JSON object with nothing after it whose fields have the given
     types; fields it lacks are NULL. NULL and blank texts, several objects, an array, text after the object and values
-    of another type are rejected. Other columns are kept. Works on streaming frames too.
+    of another type are rejected. Other columns are kept. Works on streaming frames too. Without ``split`` both are one
+    frame, in which ``KIND`` says which is which, the fields of a reject are NULL, and so is ``RAW`` of a record.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = T.StructType([*fields.fields, T.StructField(_CORRUPT, T.StringType())])
@@ -151,7 +155,11 @@ def json_records(df: DataFrame, column: str, schema: T.StructType | str) -> Json
     good = F.ltrim(text).startswith("{") & F.col(f"_json.{_CORRUPT}").isNull() & alone
     parsed = parsed.withColumn("_good", F.coalesce(good, F.lit(False)))
     others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    if not split:
+        kind = F.when(F.col("_good"), F.lit("record")).otherwise(F.lit("reject"))
+        of_record = [F.when(F.col("_good"), F.col(f"_json.`{f.name}`")).alias(f.name) for f in fields]
+        return parsed.select(*others, *of_record, F.when(~F.col("_good"), text).alias(RAW), kind.alias(KIND))
     return JsonRecords(
         parsed.filter("_good").select(*others, *[F.col(f"_json.`{f.name}`") for f in fields]),
-        parsed.filter("not _good").select(*others, text.alias("raw")),
+        parsed.filter("not _good").select(*others, text.alias(RAW)),
     )

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import not_in
+from tallyspark.operators.joins import not_in, per_key
 from tallyspark.operators.journals import PARENT_CODE
+from tallyspark.sources.staging import staged
 
 # Fixed value: the header type whose amount is not compared with its lines.
 UNCHECKED_HEADER = 4
@@ -198,3 +202,133 @@ def validate(
         results = results.unionByName(part)
     status = F.when(F.col("n_violations") == 0, F.lit("pass")).otherwise(F.lit("fail"))
     return results.select("check_no", "check", status.alias("status"), "n_violations")
+
+
+class Checked(NamedTuple):
+    """The result of each check as ``validate`` gives it, and what breaks the checks."""
+
+    results: DataFrame
+    violations: DataFrame
+
+
+def _known(df: DataFrame, key: str, accounts: DataFrame) -> Column:
+    """Whether ``df``'s key is ``NOT IN`` the accounts, once ``df`` is joined with ``_listed`` on it."""
+    facts = accounts.agg(
+        F.struct(
+            (F.count(F.lit(1)) == 0).alias("empty"), (F.count_if(F.col("AccountID").isNull()) > 0).alias("has_null")
+        ).alias("facts")
+    ).scalar()
+    return F.col("_listed").isNull() & ((F.col(key).isNotNull() & ~facts["has_null"]) | facts["empty"])
+
+
+def _with_listed(df: DataFrame, key: str, accounts: DataFrame) -> DataFrame:
+    names = per_key(accounts.select(F.col("AccountID").alias(key)), [key], F.first(F.lit(True)).alias("_listed"))
+    return df.join(names, key, "left")
+
+
+def _broken(rules: dict[int, Column]) -> Column:
+    """The numbers of the rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(rule, F.lit(n)) for n, rule in rules.items()]))
+
+
+def _found(df: DataFrame, number: Column, txn: Column | None = None, account: Column | None = None, batch: Column | None = None, rows: Column | None = None) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return df.select(
+        number.cast("int").alias("check_no"),
+        (none if txn is None else txn).alias("ApTransactionID"),
+        (none if account is None else account).alias("AccountID"),
+        (none if batch is None else batch).alias("batch"),
+        (F.lit(1) if rows is None else rows).cast("bigint").alias("n_rows"),
+    )
+
+
+def check_ledger(
+    details: DataFrame,
+    txns: DataFrame,
+    accounts: DataFrame,
+    batches: list[str] | DataFrame | None = None,
+    nulls_as_zero: bool = False,
+) -> Checked:
+    """All checks with what breaks them, from one scan of the lines and one of the headers.
+
+    ``violations`` is stored and has ``check_no``, ``check``, ``ApTransactionID``, ``AccountID``, ``batch`` and ``n_rows``:
+    for a line rule the lines of one transaction on one account, for a transaction rule the transaction, for a header
+    rule the headers of one id and parent account, for check 1 the batch, for check 3 one row without any of these.
+
+    Lines are grouped by transaction and by the rules that they break, so that sound lines of a transaction are one row,
+    and all checks of lines and transactions read these groups. The counts are observed while the violations are
+    stored. The driver sees one number per check.
+    """
+    this = F.col("ThisAccountID")
+    lines = _with_listed(details, "ThisAccountID", accounts)
+    broken = _broken(
+        {
+            6: this.isNull(),
+            7: this != F.col("CreditAccountID"),
+            8: this != F.col("DebitAccountID"),
+            9: _known(lines, "ThisAccountID", accounts),
+        }
+    )
+    is_parent = F.col("TransactionType") == PARENT_CODE
+    marked = lines.select(
+        "ApTransactionID", "DebitAmount", "CreditAmount", this.alias("account"), broken.alias("broken"),
+        is_parent.alias("is_parent"), F.when(is_parent, F.col("LastUpdatedBy")).alias("parent_batch"),
+    )
+    groups = marked.groupBy(
+        "ApTransactionID", "broken", F.when(F.size("broken") > 0, F.col("account")).alias("account"), "parent_batch"
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("is_parent").alias("parents"),
+        F.sum("DebitAmount").alias("debit"),
+        F.sum("CreditAmount").alias("credit"),
+    )
+    groups = staged(groups, "checked_groups")
+    own = F.col("ApTransactionID")
+    per_txn = groups.groupBy("ApTransactionID").agg(
+        F.sum("parents").alias("parents"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit")
+    )
+    debit, credit = F.sum("debit"), F.sum("credit")
+    if nulls_as_zero:
+        debit, credit = (F.when(F.count(F.lit(1)) > 0, F.coalesce(c, F.lit(0))) for c in (debit, credit))
+    total = per_txn.agg(F.coalesce(debit - credit != 0, F.lit(True)).alias("off")).filter("off")
+    of_txn = _broken({2: F.col("parents") > 1, 4: F.col("debit") != F.col("credit")})
+    headers = _with_listed(
+        txns.select("APTransactionID", "TransactionType", "TransactionAmount", "ParentAccountID"), "ParentAccountID", accounts
+    )
+    totals = per_txn.filter(own.isNotNull()).select(own.alias("APTransactionID"), "debit")
+    headers = headers.join(totals, "APTransactionID", "left")
+    of_header = _broken(
+        {
+            5: (F.col("TransactionType") != UNCHECKED_HEADER) & (F.col("TransactionAmount") != F.col("debit")),
+            10: F.col("ParentAccountID").isNull(),
+            11: _known(headers, "ParentAccountID", accounts),
+        }
+    )
+    number = F.col("number")
+    by_header = headers.select("APTransactionID", "ParentAccountID", F.explode(of_header).alias("number"))
+    parts = [
+        _found(groups.select("*", F.explode("broken").alias("number")), number, own, F.col("account"), rows=F.col("n")),
+        _found(per_txn.select("ApTransactionID", F.explode(of_txn).alias("number")), number, own),
+        _found(total, F.lit(3)),
+        _found(by_header, number, F.col("APTransactionID"), F.col("ParentAccountID")),
+    ]
+    checked = [n for n in CHECKS if n > 1 or batches is not None]
+    if batches is not None:
+        lone = parent_lines_per_batch(
+            groups.filter("parents > 0").select(
+                F.lit(PARENT_CODE).alias("TransactionType"), F.col("parent_batch").alias("LastUpdatedBy"),
+                F.explode(F.sequence(F.lit(1), F.least(F.col("parents"), F.lit(2)))),
+            ),
+            batches,
+        )
+        parts.append(_found(lone.filter(~F.col("passed")), F.lit(1), batch=F.col("batch")))
+    names = F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair])
+    found = reduce(DataFrame.unionByName, parts).groupBy("check_no", "ApTransactionID", "AccountID", "batch")
+    found = found.agg(F.sum("n_rows").alias("n_rows")).withColumn("check", names[F.col("check_no")])
+    counts = Observation()
+    of_check = lambda n: F.sum(F.when(F.col("check_no") == n, F.col("n_rows")))
+    observed = found.observe(counts, *[F.coalesce(of_check(n), F.lit(0)).alias(str(n)) for n in checked])
+    violations = staged(observed, "violations")
+    rows = [(n, CHECKS[n], "fail" if counts.get[str(n)] else "pass", int(counts.get[str(n)])) for n in checked]
+    results = details.sparkSession.createDataFrame(rows, "check_no int, check string, status string, n_violations bigint")
+    return Checked(results, violations.select("check_no", "check", "ApTransactionID", "AccountID", "batch", "n_rows"))

@@ -347,6 +347,41 @@ _BILL_TEXT = "VendorBillID, APAccount, PayeeID, BillDate, BillDueDate, BillNumbe
 _COMPARED = f"basis, F2, {_m('Debit')} Debit, {_m('Credit')} Credit, {_m('Balance')} Balance, qblinkid, AccountID"
 
 
+_LINE_RULES = {
+    6: "ThisAccountID is null",
+    7: "ThisAccountID <> CreditAccountID",
+    8: "ThisAccountID <> DebitAccountID",
+    9: "ThisAccountID not in (select AccountID from account_list)",
+}
+_TXN_RULES = {2: "count(*) filter (TransactionType = 20) > 1", 4: "sum(DebitAmount) <> sum(CreditAmount)"}
+_HEADER_RULES = {
+    5: """TransactionType <> 4 and TransactionAmount <> (
+        select sum(DebitAmount) from ap_transaction_details d where d.ApTransactionID = t.APTransactionID)""",
+    10: "ParentAccountID is null",
+    11: "ParentAccountID not in (select AccountID from account_list)",
+}
+_VIOLATIONS = "select v.*, c.check from (" + "\nunion all ".join(
+    [
+        *(
+            f"""select {n} check_no, ApTransactionID, ThisAccountID AccountID, count(*) n_rows
+            from ap_transaction_details where {rule} group by all"""
+            for n, rule in _LINE_RULES.items()
+        ),
+        *(
+            f"select {n}, ApTransactionID, null, 1 from ap_transaction_details group by ApTransactionID having {rule}"
+            for n, rule in _TXN_RULES.items()
+        ),
+        *(
+            f"""select {n}, APTransactionID, ParentAccountID, count(*) from ap_transaction_table t where {rule}
+            group by all"""
+            for n, rule in _HEADER_RULES.items()
+        ),
+        """select 3, null, null, 1 where not coalesce(
+            (select sum(DebitAmount) = sum(CreditAmount) from ap_transaction_details), false)""",
+    ]
+) + ") v join (values " + ", ".join(f"({n}, '{name}')" for n, name in _CHECK_NAMES.items()) + ") c(n, \"check\") on c.n = v.check_no"
+
+
 def _left_over(extract: str, after: str) -> str:
     return f"""
 select 'mismatch' issue, x.basis, x.AccountID, {_m("x.Balance")} extract_balance, {_m("t.Balance")} ledger_balance
@@ -475,6 +510,12 @@ _LEDGER: dict[str, tuple[list[str], str]] = {
         [BALANCES, RECONCILE],
         f"select {_COMPARED}, {_m('FinalBalance')} FinalBalance from compared",
     ),
+    "extract_runs": (
+        [BALANCES, RECONCILE],
+        f"""select '0' run, basis, F2, null AccountID, {_m("null")} FinalBalance, null JournalType from extract
+        union all select run, basis, F2, AccountID, {_m("FinalBalance")}, JournalType
+        from reconciled, (values ('1'), ('2')) r(run)""",
+    ),
     "duplicate_accounts": (
         [BALANCES, RECONCILE],
         "select basis, AccountID, count(*) n_rows from mapped group by all having count(*) > 1",
@@ -511,7 +552,11 @@ mistyped as (
         [
             BALANCES,
             RECONCILE.replace("reconciled as (", "reconciled_both as (")
-            + ",\nreconciled as (select * from reconciled_both where FinalBalance > 0)",
+            + """,
+reconciled as (
+    select * replace (case when JournalType is null then abs(FinalBalance) else -abs(FinalBalance) end as FinalBalance)
+    from reconciled_both
+)""",
             JOURNALS,
         ],
         _line("zero_lines"),
@@ -599,6 +644,7 @@ mistyped as (
         where ParentAccountID not in (select AccountID from account_list)""",
     ),
     "chk_all": ([], _ALL_CHECKS),
+    "chk_violations": ([], _VIOLATIONS),
     "mig_mismatch": (
         [BALANCES, RECONCILE],
         f"""select m.basis, m.AccountID, {_m("m.Balance")} Balance, {_m("t.Balance")} ledger_balance
@@ -629,6 +675,14 @@ mistyped as (
     "month_end_left_over": ([BALANCES, RECONCILE, JOURNALS], _left_over("reconciled", "rebuilt")),
 }
 
+# The same results by other ways: an SQL function, and tables in the catalog.
+_LEDGER |= {
+    "ap_aging_sql": _LEDGER["ap_aging"],
+    "tb_switch": _LEDGER["tb_period"],
+    "journal_switch": _LEDGER["journal_purge"],
+    "journal_purge_files": _LEDGER["journal_purge"],
+}
+
 _LOADING = {
     "conform_to_metadata": """select c_custkey, c_name, c_nationkey,
         cast(cast(c_acctbal as decimal(13,2)) as decimal(38,2)) c_acctbal from customer""",
@@ -649,6 +703,11 @@ _LOADING = {
         cast(turn as string) column2, role column3, "text" column4, cast(null as string) column5, cast(null as string) column6
         from conversations""",
     "bulk_append": "select * from customer union all select * replace (-c_acctbal as c_acctbal) from customer",
+    "load_once": """select *, 'first' load_id, 4 n_tried, 2 n_added from customer
+        union all select * replace (-c_acctbal as c_acctbal), 'second', 4, 2 from customer""",
+    "load_keys": """select case when c_nationkey < 15 then 'west' else 'east' end load_id, 'row' kind, c_custkey from customer
+        union all select 'twice', 'inside', c_custkey from customer where c_nationkey >= 15
+        union all select 'over', 'stored', c_custkey from customer where c_nationkey between 10 and 14""",
     "json_records": """select event_id, is_record, case when is_record then cast(regexp_extract(props, '\\d+') as int) end k,
         case when not is_record then raw end raw
         from (

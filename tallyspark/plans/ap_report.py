@@ -41,17 +41,15 @@ def ap_aging(
 ) -> DataFrame:
     """Open bills, open vendor credits and journal balances with names and age buckets, sorted by payee and bill.
 
-    ``as_of`` bounds what is counted and ``today`` sets the ages; both default to the current moment.
+    ``as_of`` bounds what is counted and ``today`` sets the ages; both default to the current moment. Credits and their
+    uses are stored in the shared checkpoint folder when this is called, since two parts of the report read them.
     """
     positions = aging.bill_positions(
         tables.employees, tables.bills, tables.details, tables.txns, tables.checks, as_of, on_multiple, dedupe_checks
     )
     # Credits without a use name no bill and could match no row, so only drawn credit is grouped.
-    credit = (
-        aging.applied_credit(tables.txns, tables.details, tables.credit_uses, as_of)
-        .groupBy("VendorBillID", "PayeeID")
-        .agg(F.sum(F.col("_drawn") * F.col("_lines")).alias("_credit_used"))
-    )
+    state = aging.credit_state(tables.txns, tables.details, tables.credit_uses, as_of)
+    credit = aging.credit_used_by_bill(*state)
     used = F.coalesce(F.col("_credit_used"), F.lit(0))
     bills = positions.join(credit, ["VendorBillID", "PayeeID"], "left").select(
         *positions.columns,
@@ -59,7 +57,7 @@ def ap_aging(
         (F.col("Paid") + used).alias("totalPaid"),
         (F.col("Billed") - F.col("Paid") - used).alias("Balance"),
     )
-    credits = aging.vendor_credit(tables.txns, tables.details, tables.credit_uses, as_of)
+    credits = aging.open_credit(*state, as_of)
     journals = aging.journal_balance(tables.txns, tables.details, tables.accounts, as_of)
     rows = bills.unionByName(credits).unionByName(journals).filter(F.col("Balance") != 0)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,21 @@ class MonthEnd:
     headers: DataFrame
     details: DataFrame
     rebuilt: DataFrame
-    checks: DataFrame
+    run_checks: Callable[[], validation.Checked]
+
+    @cached_property
+    def _checked(self) -> validation.Checked:
+        return self.run_checks()
+
+    @property
+    def checks(self) -> DataFrame:
+        """The result of each check; the checks run when this or ``violations`` is first asked for."""
+        return self._checked.results
+
+    @property
+    def violations(self) -> DataFrame:
+        """What breaks the checks."""
+        return self._checked.violations
 
 
 def trial_balances(tables: LedgerTables, as_of: AsOf, plug: str | None = PLUG_ACCOUNT) -> DataFrame:
@@ -38,9 +54,11 @@ def trial_balances(tables: LedgerTables, as_of: AsOf, plug: str | None = PLUG_AC
     return parts[0].unionByName(parts[1])
 
 
-def reconciled_extract(tables: LedgerTables, tb: DataFrame) -> DataFrame:
-    """Both extracts mapped to accounts, with balance and final balance."""
-    extract = reconcile.drop_blank_rows(reconcile.by_basis(tables.extract_accrual, tables.extract_cash))
+def reconciled_extract(tables: LedgerTables, tb: DataFrame, extract: DataFrame | None = None) -> DataFrame:
+    """Both extracts, or one frame of both with ``basis``, mapped to accounts, with balance and final balance."""
+    if extract is None:
+        extract = reconcile.by_basis(tables.extract_accrual, tables.extract_cash)
+    extract = reconcile.drop_blank_rows(extract)
     mapped = reconcile.map_accounts(extract, tables.qb_accounts, tables.accounts)
     # Compared with the ledger and listed as seen, so stored once instead of mapped twice.
     return reconcile.final_balance(staged(reconcile.with_balance(mapped), "mapped"), tb)
@@ -77,7 +95,7 @@ def month_end(
     """Run the whole job. Frames read by several later steps are stored in the shared checkpoint folder.
 
     The returned frames are not yet in the ledger: write ``headers`` and ``details`` with ``sinks.replace_batches``.
-    ``checks`` are the results for the ledger as it is with them; a batch that has no rows is not among those checked.
+    ``checks`` and ``violations`` are for the ledger as it is with them; a batch that has no rows is not among those checked.
     The moment that ``as_of`` and ``updated`` stand for when they are None is read from the clock once.
     """
     now = datetime.now(timezone.utc)
@@ -88,8 +106,7 @@ def month_end(
     made = journals.generate_journals(final, as_of, kind, updated)
     made = journals.Journals(staged(made.headers, "headers"), staged(made.details, "details"))
     rebuilt = staged(trial_balances(book(tables, made), as_of, plug), "rebuilt")
-    checks = ledger_checks(tables, made, as_of, kind)
-    return MonthEnd(tb, final, made.headers, made.details, rebuilt, checks)
+    return MonthEnd(tb, final, made.headers, made.details, rebuilt, lambda: ledger_checks(tables, made, as_of, kind))
 
 
 def comparison(result: MonthEnd) -> DataFrame:
@@ -113,10 +130,10 @@ def comparison(result: MonthEnd) -> DataFrame:
     )
 
 
-def ledger_checks(tables: LedgerTables, made: journals.Journals, as_of: AsOf, kind: str = "monthly") -> DataFrame:
-    """All eleven check results for the ledger with the period's batches replaced by new ones."""
+def ledger_checks(tables: LedgerTables, made: journals.Journals, as_of: AsOf, kind: str = "monthly") -> validation.Checked:
+    """All eleven checks of the ledger with the period's batches replaced by new ones."""
     tags = journals.batch_tags(as_of, kind)
     details = journals.replace_batch(tables.details, made.details, tags)
     txns = journals.replace_batch(tables.txns, made.headers, tags)
     batches = made.headers.select("LastUpdatedBy")
-    return validation.validate(details, txns, tables.accounts, batches)
+    return validation.check_ledger(details, txns, tables.accounts, batches)

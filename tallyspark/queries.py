@@ -5,19 +5,26 @@ Money columns come out as ``decimal(38,2)`` and generated ids are left out, so r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions import labels
 from tallyspark.operators import aging, ingest, journals, recheck, reconcile, trial_balance, validation
+from tallyspark.plans import extract_runs as runs
 from tallyspark.plans import month_end as month
 from tallyspark.plans.ap_report import ap_aging as ap_aging_report
+from tallyspark.plans.ap_report_sql import create_ap_aging
+from tallyspark.sources import loads
 from tallyspark.sources.adapter import adapter_tables
+from tallyspark.sources.purge import replace_batches_in_files
+from tallyspark.sources.sinks import bulk_append as append_rows
 from tallyspark.sources.sinks import bulk_append_path, write_period
 from tallyspark.sources.staging import staged, staging_path
 from tallyspark.sources.tables import LedgerTables
@@ -62,6 +69,18 @@ def _base(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _new_table(spark: SparkSession) -> tuple[str, str]:
+    """A new name in the catalog and a folder of this run for it."""
+    return f"query_{uuid.uuid4().hex}", staging_path(spark, "table")
+
+
+def _read_once(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table, which then leaves the catalog again."""
+    rows = staged(spark.table(table), "read_back")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 # Accounts payable
 
 
@@ -124,6 +143,13 @@ def ap_aging(t: LedgerTables) -> DataFrame:
     return ap_aging_report(t, AS_OF, TODAY)
 
 
+@_ledger_query
+def ap_aging_sql(t: LedgerTables) -> DataFrame:
+    spark, name = t.bills.sparkSession, "ap_aging_of_query"
+    create_ap_aging(spark, t, name)
+    return spark.sql(f"SELECT * FROM {name}(DATE '{AS_OF}', DATE '{TODAY}')")
+
+
 # Trial balances
 
 
@@ -174,6 +200,20 @@ def tb_period(t: LedgerTables) -> DataFrame:
     return spark.read.parquet(path).withColumn("period", F.col("period").cast("string"))
 
 
+@_ledger_query
+def tb_switch(t: LedgerTables) -> DataFrame:
+    """As ``tb_period``, in a catalog table whose partitions are switched."""
+    spark, (name, path) = t.accounts.sparkSession, _new_table(t.accounts.sparkSession)
+    accrual = trial_balance.in_period(_accrual(t).select("AccountID", "Balance"), AS_OF, "A")
+    cash = trial_balance.in_period(_cash(t), AS_OF, "C", "yearly")
+    loads.create_partitioned(spark, name, accrual.schema, ["period", "basis"], path)
+    loads.switch_period(accrual.withColumn("Balance", -F.col("Balance")), name, "200106", "A")
+    loads.switch_period(cash, name, "2001", "C")
+    loads.switch_period(accrual.limit(0), name, "200106", "A")
+    loads.switch_period(accrual, name, "200106", "A")
+    return _read_once(spark, name)
+
+
 # Reconciliation
 
 
@@ -242,6 +282,18 @@ def final_balance(t: LedgerTables) -> DataFrame:
     return _compared(t)
 
 
+@_ledger_query
+def extract_runs(t: LedgerTables) -> DataFrame:
+    """An extract that is stored once and reconciled twice, each run a step from what the one before has left."""
+    spark, (name, path) = t.accounts.sparkSession, _new_table(t.accounts.sparkSession)
+    runs.create_extract(spark, name, path)
+    runs.store_extract(_extract(t), name, "0")
+    tb = _stored_tb(t)
+    for before, run in (("0", "1"), ("1", "2")):
+        runs.reconcile_run(t, name, tb, before, run)
+    return _read_once(spark, name).select("run", "basis", "F2", "AccountID", "FinalBalance", "JournalType")
+
+
 @_ledger_query
 def duplicate_accounts(t: LedgerTables) -> DataFrame:
     return reconcile.duplicates(_mapped(t), "basis", "AccountID")
@@ -311,6 +363,35 @@ def journal_purge(t: LedgerTables) -> DataFrame:
     return replaced.select(*LINE_COLUMNS)
 
 
+@_ledger_query
+def journal_switch(t: LedgerTables) -> DataFrame:
+    """As ``journal_purge``, in a stored table whose batches are switched."""
+    earlier = F.when(F.col("TransactionType") == 11, F.lit("CJ200106HYB")).when(
+        F.col("TransactionType") == 5, F.lit("CJ200105HYB")
+    )
+    new = _journals(t).details.select(*LINE_COLUMNS)
+    existing = t.details.withColumn("LastUpdatedBy", earlier).select(*[F.col(f.name).cast(f.dataType) for f in new.schema])
+    spark, (name, path) = t.details.sparkSession, _new_table(t.details.sparkSession)
+    loads.create_partitioned(spark, name, new.schema, ["LastUpdatedBy"], path)
+    append_rows(existing, name)
+    loads.switch_batches(new, name, [f"CJ200106{s.suffix}" for s in journals.SPECS])
+    return _read_once(spark, name).select(*LINE_COLUMNS)
+
+
+@_ledger_query
+def journal_purge_files(t: LedgerTables) -> DataFrame:
+    """As ``journal_purge``, in a folder of files of which only those with an earlier batch are written anew."""
+    earlier = F.when(F.col("TransactionType") == 11, F.lit("CJ200106HYB")).when(
+        F.col("TransactionType") == 5, F.lit("CJ200105HYB")
+    )
+    new = _journals(t).details.select(*LINE_COLUMNS)
+    existing = t.details.withColumn("LastUpdatedBy", earlier).select(*[F.col(f.name).cast(f.dataType) for f in new.schema])
+    path = staging_path(t.details.sparkSession, "lines")
+    existing.write.parquet(path)
+    replace_batches_in_files(new, path, [f"CJ200106{s.suffix}" for s in journals.SPECS])
+    return t.details.sparkSession.read.parquet(path).select(*LINE_COLUMNS)
+
+
 @_ledger_query
 def journal_header(t: LedgerTables) -> DataFrame:
     _, facts = _rows_and_facts(t)
@@ -331,8 +412,10 @@ def journal_debit_lines(t: LedgerTables) -> DataFrame:
 
 @_ledger_query
 def journal_zero_lines(t: LedgerTables) -> DataFrame:
-    # Batches of debits only, since every batch of the trial ledger has rows on both sides.
-    rows = journals.journal_rows(_reconciled(t)).filter(F.col("amount") > 0)
+    # The same amounts all on one side: credits in the hybrid batch, debits in the two others.
+    size = F.abs("FinalBalance")
+    one_sided = _reconciled(t).withColumn("FinalBalance", F.when(F.col("JournalType").isNotNull(), -size).otherwise(size))
+    rows = journals.journal_rows(one_sided)
     return journals.journal_zero_lines(journals.journal_facts(rows), AS_OF).select(*LINE_COLUMNS)
 
 
@@ -456,7 +539,12 @@ def chk_parent_known(t: LedgerTables) -> DataFrame:
 
 @_ledger_query
 def chk_all(t: LedgerTables) -> DataFrame:
-    return validation.validate(t.details, t.txns, t.accounts)
+    return validation.check_ledger(t.details, t.txns, t.accounts).results
+
+
+@_ledger_query
+def chk_violations(t: LedgerTables) -> DataFrame:
+    return validation.check_ledger(t.details, t.txns, t.accounts).violations.drop("batch")
 
 
 # After the migration
@@ -558,6 +646,49 @@ def bulk_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@_query
+def load_once(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, the same again, one that fails half-way and is run again: each row is there once."""
+    customers = _base(spark, folder, "customer")
+    name, path = _new_table(spark)
+    loads.create_partitioned(spark, name, customers.withColumn(loads.LOAD, F.lit("")).schema, [loads.LOAD], path)
+    outcomes = [loads.append_once(customers, name, "first"), loads.append_once(customers, name, "first")]
+    second = customers.withColumn("c_acctbal", -F.col("c_acctbal"))
+    cut_off = F.when(F.col("c_custkey") % 50 == 7, F.raise_error(F.lit("source cut off")).cast("double"))
+    try:
+        loads.append_once(second.withColumn("c_acctbal", cut_off.otherwise(F.col("c_acctbal"))), name, "second")
+    except PySparkException:
+        outcomes.append(False)
+    outcomes.append(loads.append_once(second, name, "second"))
+    n_added = F.lit(sum(outcomes)).cast("int").alias("n_added")
+    return _read_once(spark, name).select("*", F.lit(len(outcomes)).alias("n_tried"), n_added)
+
+
+@_query
+def load_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads with a key: the rows of those that were taken, and the clashing keys of those that were refused."""
+    customers = _base(spark, folder, "customer")
+    name, path = _new_table(spark)
+    keys, nation = ["c_custkey"], F.col("c_nationkey")
+    loads.create_keyed(spark, name, customers.schema, keys, path)
+    east = customers.filter(nation >= 15)
+    refused = []
+    for load, rows in (
+        ("west", customers.filter(nation < 15)),
+        ("twice", east.unionByName(east)),
+        ("over", customers.filter(nation >= 10)),
+        ("east", east),
+    ):
+        try:
+            loads.append_keyed(rows, name, load, keys)
+        except loads.KeyClash as clash:
+            for kind, found in (("inside", clash.inside), ("stored", clash.stored)):
+                refused.append(staged(found.select(F.lit(load).alias(loads.LOAD), F.lit(kind).alias("kind"), *keys), "clashes"))
+    taken = _read_once(spark, name).select(loads.LOAD, F.lit("row").alias("kind"), *keys)
+    spark.sql(f"DROP TABLE {name}_keys")
+    return reduce(DataFrame.unionByName, refused, taken)
+
+
 @_query
 def json_records(spark: SparkSession, folder: str) -> DataFrame:
     # Some messages got lost, came empty or blank, were cut, or had something after them.

@@ -8,8 +8,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import aging, reconcile, trial_balance
+from tallyspark.operators import aging, reconcile, trial_balance, validation
 from tallyspark.plans import month_end
+from tallyspark.plans.ap_report import ap_aging
+from tallyspark.plans.ap_report_sql import create_ap_aging
 from tallyspark.queries import QUERIES
 from tallyspark.sources.adapter import adapter_tables
 from tallyspark.sources.staging import staged
@@ -184,3 +186,34 @@ def test_hot_label_account_and_balance_are_split(hot, keys):
     flagged = reconcile.hybrid_flag(staged(final, "final"))
     assert "skew=true" in plan(flagged, run=True)
     assert flagged.filter("JournalType = 'Hybrid'").count() == 2 * N
+
+
+def _line_scans(monkeypatch, module, run):
+    """How often the lines' file is scanned in all that ``run`` stores and returns."""
+    texts, store = [], module.staged
+
+    def seen(df, name):
+        texts.append(plan(df))
+        return store(df, name)
+
+    monkeypatch.setattr(module, "staged", seen)
+    texts.append(plan(run()))
+    return sum(text.count("lineitem.parquet") for text in texts)
+
+
+def test_report_scans_lines_four_times_and_uses_once(spark, monkeypatch):
+    t = adapter_tables(spark, FOLDER)
+    assert _line_scans(monkeypatch, aging, lambda: ap_aging(t, AS_OF, DAY)) == 5
+
+
+def test_checks_scan_lines_once(spark, monkeypatch):
+    t = adapter_tables(spark, FOLDER)
+    run = lambda: validation.check_ledger(t.details, t.txns, t.accounts, ["b"]).violations
+    assert _line_scans(monkeypatch, validation, run) == 1
+
+
+def test_sql_report_filters_by_its_dates_in_the_scan(spark, settings):
+    settings(spark__sql__maxMetadataStringLength="10000")
+    create_ap_aging(spark, adapter_tables(spark, FOLDER), "ap_aging_of_test")
+    text = plan(spark.sql("SELECT * FROM ap_aging_of_test(DATE '2001-06-30', DATE '2001-07-15')"))
+    assert "2001-06-30" in " ".join(re.findall(r"PushedFilters: \[(.*?)\]", text)) and "NestedLoop" not in text
