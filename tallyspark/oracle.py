@@ -675,9 +675,10 @@ reconciled as (
     "month_end_left_over": ([BALANCES, RECONCILE, JOURNALS], _left_over("reconciled", "rebuilt")),
 }
 
-# The same results by other ways: an SQL function, and tables in the catalog.
+# The same results by other ways: an SQL function, tables in the catalog, files.
 _LEDGER |= {
     "ap_aging_sql": _LEDGER["ap_aging"],
+    "chk_violations_bucketed": _LEDGER["chk_violations"],
     "tb_switch": _LEDGER["tb_period"],
     "journal_switch": _LEDGER["journal_purge"],
     "journal_purge_files": _LEDGER["journal_purge"],

@@ -27,7 +27,7 @@ from tallyspark.sources.purge import replace_batches_in_files
 from tallyspark.sources.sinks import bulk_append as append_rows
 from tallyspark.sources.sinks import bulk_append_path, write_period
 from tallyspark.sources.staging import staged, staging_path
-from tallyspark.sources.tables import LedgerTables
+from tallyspark.sources.tables import LedgerTables, bucketed, drop_bucketed
 
 AS_OF = date(2001, 6, 30)
 TODAY = date(2001, 7, 15)
@@ -547,6 +547,16 @@ def chk_violations(t: LedgerTables) -> DataFrame:
     return validation.check_ledger(t.details, t.txns, t.accounts).violations.drop("batch")
 
 
+@_ledger_query
+def chk_violations_bucketed(t: LedgerTables) -> DataFrame:
+    """The same from lines and headers that are stored by transaction."""
+    spark, (name, path) = t.details.sparkSession, _new_table(t.details.sparkSession)
+    stored = bucketed(t, spark, name, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = validation.check_ledger(stored.details, stored.txns, t.accounts).violations.drop("batch")
+    drop_bucketed(spark, name)
+    return found
+
+
 # After the migration
 
 

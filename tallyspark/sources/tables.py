@@ -51,3 +51,34 @@ def read_catalog(spark: SparkSession, namespace: str) -> LedgerTables:
 
 def read_parquet(spark: SparkSession, root: str) -> LedgerTables:
     return LedgerTables(lambda name: spark.read.parquet(f"{root}/{name}"))
+
+
+# Parts of the bundle that are bucketed by transaction, with the column that names it, and into how many buckets.
+_BY_TRANSACTION = {"details": "ApTransactionID", "txns": "APTransactionID", "checks": "APTransactionID"}
+TRANSACTION_BUCKETS = 256
+
+
+def bucketed(
+    tables: LedgerTables, spark: SparkSession, prefix: str, path: str | None = None, buckets: int = TRANSACTION_BUCKETS
+) -> LedgerTables:
+    """The bundle with lines, headers and checks stored in catalog tables bucketed and sorted by transaction.
+
+    What is grouped or joined by transaction then isn't shuffled. The tables are named by ``prefix`` and the table and lie
+    in ``path`` or where the warehouse puts them; tables of these names are replaced. Choose so many buckets that one fits
+    a task. A bucket is read by one task, so keep the plain tables where one transaction, or none at all, holds a
+    large share of the lines: adaptive execution splits those, but no bucket.
+    """
+    stored = {}
+    for part, key in _BY_TRANSACTION.items():
+        name = f"{prefix}_{TABLE_NAMES[part]}"
+        writer = getattr(tables, part).repartition(buckets, key).write.format("parquet").mode("overwrite")
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+        (writer if path is None else writer.option("path", f"{path.rstrip('/')}/{name}")).saveAsTable(name)
+        stored[part] = spark.table(name)
+    return tables.replacing(**stored)
+
+
+def drop_bucketed(spark: SparkSession, prefix: str) -> None:
+    """Takes the tables that ``bucketed`` made out of the catalog."""
+    for part in _BY_TRANSACTION:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}_{TABLE_NAMES[part]}")

@@ -15,6 +15,7 @@ from tallyspark.plans.ap_report_sql import create_ap_aging
 from tallyspark.queries import QUERIES
 from tallyspark.sources.adapter import adapter_tables
 from tallyspark.sources.staging import staged
+from tallyspark.sources.tables import bucketed, drop_bucketed
 
 FOLDER = "/root/testdata/sf0.001"
 AS_OF = date(2001, 6, 30)
@@ -216,4 +217,26 @@ def test_sql_report_filters_by_its_dates_in_the_scan(spark, settings):
     settings(spark__sql__maxMetadataStringLength="10000")
     create_ap_aging(spark, adapter_tables(spark, FOLDER), "ap_aging_of_test")
     text = plan(spark.sql("SELECT * FROM ap_aging_of_test(DATE '2001-06-30', DATE '2001-07-15')"))
-    assert "2001-06-30" in " ".join(re.findall(r"PushedFilters: \[(.*?)\]", text)) and "NestedLoop" not in text
+    # Up to the last day, as the scan's type has it.
+    assert "l_shipdate,2001-07-01T00:00" in " ".join(re.findall(r"PushedFilters: \[(.*?)\]", text)) and "NestedLoop" not in text
+
+
+def test_bucketed_lines_are_not_shuffled_by_transaction(spark, settings, tmp_path):
+    t = adapter_tables(spark, FOLDER)
+    stored = bucketed(t, spark, "bucketed_test", str(tmp_path), 8)
+    try:
+        # The lists of accounts are small enough to be sent; the ledger isn't.
+        for df in (
+            validation.unbalanced_transactions(stored.details),
+            validation.duplicate_parent_lines(stored.details),
+            validation.header_amounts(stored.txns, stored.details),
+        ):
+            settings(spark__sql__autoBroadcastJoinThreshold="-1")
+            text = plan(df)
+            assert "Exchange" not in text and "Bucketed: true" in text, text
+        found, expected = (
+            sorted(map(tuple, validation.check_ledger(b.details, b.txns, b.accounts).violations.collect()), key=repr) for b in (stored, t)
+        )
+        assert found == expected
+    finally:
+        drop_bucketed(spark, "bucketed_test")
