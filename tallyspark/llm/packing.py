@@ -11,14 +11,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,55 +30,79 @@ LENGTH = 4096
 END_ID = 2
 # Sequences that are packed together; a task holds the ids of about so many.
 GROUP = 512
-# Words whose ids a task keeps at most; beyond it the memory of words starts anew.
+# Words and parts of words whose ids a task keeps; beyond it the memory starts anew with the next text.
 WORDS = 600_000
 LINEAR = 1.0
 QUADRATIC = 1.0 / 1024
 COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class _Memory(dict):
+    """The ids of words, found when a word is first asked for."""
+
+    def __init__(self, find: Callable[[bytes], bytes]) -> None:
+        self._find = find
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self._find(word)
+        return ids
+
+
 class Encoder:
     """A tokenizer's ids of whole texts, with the ids of each word kept.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are those of its words in a row; words are
-    parted at ASCII white space only, all of which it drops. A new word below U+0250 is lower-cased, parted by the
-    tokenizer's own pattern and given to its merges directly, which skips the alignments it otherwise keeps; any other
-    word goes through the whole tokenizer. Both ways give the same ids.
+    parted at ASCII white space only, all of which it drops. A new word below U+0250 is lower-cased, parted as the
+    tokenizer's own pattern does and given to its merges directly, which skips the alignments it otherwise keeps; a part
+    is kept like a word. Any other word goes through the whole tokenizer. Both ways give the same ids.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
         self._tokenizer = Tokenizer.from_file(path)
         self._merge = self._tokenizer.model.tokenize
-        self._special = [t["content"] for t in parts["added_tokens"]]
-        steps = [s["type"] for s in parts["normalizer"]["normalizers"]] + [s["type"] for s in parts["pre_tokenizer"]["pretokenizers"]]
+        normalizer, parting = (json.loads(s.__getstate__()) for s in (self._tokenizer.normalizer, self._tokenizer.pre_tokenizer))
+        steps = [s["type"] for s in normalizer["normalizers"]] + [s["type"] for s in parting["pretokenizers"]]
         self._direct = steps == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
-        self._parts = regex.compile(parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._odd = re.compile("|".join(["[^!-\u024f]", "\u0130", *special])).search
+        self._parts = re.compile(_below_u0250(parting["pretokenizers"][0]["pattern"]["Regex"])).findall if self._direct else None
         self._end = np.array([end_id], "<u4").tobytes()
-        self._ids: dict[bytes, bytes] = {}
-        self._part_ids: dict[str, list[int]] = {}
-
-    def _word(self, word: str) -> list[int]:
-        if not self._direct or max(word) >= "\u0250" or min(word) < " " or "\u0130" in word or any(t in word for t in self._special):
-            return self._tokenizer.encode(word, add_special_tokens=False).ids
-        found = []
-        for part in self._parts(word.lower()):
-            ids = self._part_ids.get(part)
-            if ids is None:
-                ids = self._part_ids[part] = [t.id for t in self._merge(part if part.isascii() else _bytes_as_letters(part))]
-            found += ids
-        return found
-
-    def encode(self, text: str | None) -> np.ndarray:
+        self._ids = _Memory(self._word)
+
+    def _part(self, part: str) -> bytes:
+        key = part.encode()
+        ids = self._ids.get(key)
+        if ids is None:
+            ids = self._ids[key] = self._merged(part)
+        return ids
+
+    def _merged(self, part: str) -> bytes:
+        return array("I", [t.id for t in self._merge(part if part.isascii() else _bytes_as_letters(part))]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if self._direct and word.isalpha():
+            # Letters of ASCII are one part.
+            lower = text.lower()
+            return self._merged(text) if lower == text else self._part(lower)
+        if not self._direct or self._odd(text):
+            return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self._part, self._parts(text.lower())))
+
+    def encode(self, text: str | bytes | None) -> np.ndarray:
         """A text's ids and the end id; NULL is an empty text."""
-        found = (text or "").encode("utf-8", "replace").split()
-        new = set(found).difference(self._ids)
-        if new and len(self._ids) + len(new) > WORDS:
-            self._ids, self._part_ids, new = {}, {}, set(found)
-        for w in new:
-            self._ids[w] = array("I", self._word(w.decode())).tobytes()
-        return np.frombuffer(b"".join(map(self._ids.__getitem__, found)) + self._end, "<u4")
+        if len(self._ids) > WORDS:
+            self._ids.clear()
+        data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+        return np.frombuffer(b"".join(map(self._ids.__getitem__, data.split())) + self._end, "<u4")
+
+
+def _below_u0250(pattern: str) -> str:
+    """The same pattern for ``re``, with the letters and numbers below U+0250 named one by one."""
+    for kind in ("L", "N"):
+        found = re.escape("".join(c for c in map(chr, range(0x250)) if regex.match(rf"\p{{{kind}}}", c)))
+        pattern = pattern.replace(rf"\p{{{kind}}}", found)
+    return pattern
 
 
 def _byte_letters() -> list[str]:
@@ -153,8 +178,7 @@ class _Packer:
     def _close(self, sequence: list[_Piece]) -> None:
         offset = 0
         for p in sequence:
-            crc = zlib.crc32(p.ids.tobytes())
-            self.rows.append((p.doc_id, p.start, len(p.ids), crc, p.total, self.next_id, offset))
+            self.rows.append((p.doc_id, p.start, len(p.ids), zlib.crc32(p.ids), p.total, self.next_id, offset))
             offset += len(p.ids)
         self.next_id += 1
 
@@ -224,20 +248,22 @@ def pack(
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(length, group, TaskContext.get().partitionId() << 40)
         names = ["doc_id", *[c.split()[0] for c in COLUMNS.split(", ")]]
 
-        def rows() -> pd.DataFrame:
-            found = pd.DataFrame(packer.taken(), columns=names)
-            return found.assign(doc_id=found["doc_id"].astype("Int64"))
+        def rows() -> pa.RecordBatch:
+            columns = zip(*packer.taken()) if packer.rows else [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                packer.add(None if pd.isna(doc_id) else int(doc_id), encoder(path, end_id).encode(text))
+            own = encoder(path, end_id)
+            # One text at a time, so no second copy of the batch is held.
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                packer.add(doc_id.as_py(), own.encode(text.as_py()))
             yield rows()
         packer.end()
         yield rows()
 
-    ids = F.col("doc_id").cast("long").cast("string").alias("doc_id")
-    return docs.select(ids, "text").mapInPandas(run, f"doc_id long, {COLUMNS}")
+    columns = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
+    return docs.select(*columns).mapInArrow(run, f"doc_id long, {COLUMNS}")

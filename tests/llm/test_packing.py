@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -42,6 +43,25 @@ def test_ids_of_all_texts(spark):
         assert encoder.encode(r["text"]).tolist() == whole(tokenizer, r["text"])
 
 
+def test_memory_of_words():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("enistrhadu", k=9)) + rng.choice(["", ",", "."]) for _ in range(400)) for _ in range(50)]
+    encoder = packing.Encoder(PATH, 2)
+    encoder.encode(texts[0])
+    tracemalloc.start()
+    for t in texts:
+        encoder.encode(t)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held / (400 * len(texts)) < 300, held
+
+
+def test_texts_are_not_copied_to_pandas(documents, capsys):
+    packing.pack(documents({"doc_id": 1, "text": "one"})).explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "Pandas" not in plan
+
+
 def test_lowest_cost_first():
     pieces = [packing._Piece(k, k, 0, np.zeros(n, "<u4"), n) for k, n in enumerate([60, 50, 40, 30, 20])]
     sequences = packing.balanced(pieces, 2, 100)
