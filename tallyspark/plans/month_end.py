@@ -23,9 +23,14 @@ class MonthEnd:
     reconciled: DataFrame
     headers: DataFrame
     details: DataFrame
-    rebuilt: DataFrame
+    run_rebuild: Callable[[], DataFrame]
     run_checks: Callable[[], validation.Checked]
 
+    @cached_property
+    def rebuilt(self) -> DataFrame:
+        """The trial balances with the journals booked, summed and stored when first asked for."""
+        return self.run_rebuild()
+
     @cached_property
     def _checked(self) -> validation.Checked:
         return self.run_checks()
@@ -96,6 +101,7 @@ def month_end(
 
     The returned frames are not yet in the ledger: write ``headers`` and ``details`` with ``sinks.replace_batches``.
     ``checks`` and ``violations`` are for the ledger as it is with them; a batch that has no rows is not among those checked.
+    ``rebuilt``, ``checks`` and ``violations`` are each worked out when first asked for.
     The moment that ``as_of`` and ``updated`` stand for when they are None is read from the clock once.
     """
     now = datetime.now(timezone.utc)
@@ -105,8 +111,14 @@ def month_end(
     final = staged(reconcile.hybrid_flag(compared), "reconciled")
     made = journals.generate_journals(final, as_of, kind, updated)
     made = journals.Journals(staged(made.headers, "headers"), staged(made.details, "details"))
-    rebuilt = staged(trial_balances(book(tables, made), as_of, plug), "rebuilt")
-    return MonthEnd(tb, final, made.headers, made.details, rebuilt, lambda: ledger_checks(tables, made, as_of, kind))
+    return MonthEnd(
+        tb,
+        final,
+        made.headers,
+        made.details,
+        lambda: staged(trial_balances(book(tables, made), as_of, plug), "rebuilt"),
+        lambda: ledger_checks(tables, made, as_of, kind),
+    )
 
 
 def comparison(result: MonthEnd) -> DataFrame:
