@@ -551,7 +551,7 @@ def chk_violations(t: LedgerTables) -> DataFrame:
 def chk_violations_bucketed(t: LedgerTables) -> DataFrame:
     """The same from lines and headers that are stored by transaction."""
     spark, (name, path) = t.details.sparkSession, _new_table(t.details.sparkSession)
-    stored = bucketed(t, spark, name, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = bucketed(t, spark, name, path, int(spark.conf.get("spark.sql.shuffle.partitions")), ("details", "txns"))
     found = validation.check_ledger(stored.details, stored.txns, t.accounts).violations.drop("batch")
     drop_bucketed(spark, name)
     return found

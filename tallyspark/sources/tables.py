@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +59,14 @@ TRANSACTION_BUCKETS = 256
 
 
 def bucketed(
-    tables: LedgerTables, spark: SparkSession, prefix: str, path: str | None = None, buckets: int = TRANSACTION_BUCKETS
+    tables: LedgerTables,
+    spark: SparkSession,
+    prefix: str,
+    path: str | None = None,
+    buckets: int = TRANSACTION_BUCKETS,
+    parts: Iterable[str] = tuple(_BY_TRANSACTION),
 ) -> LedgerTables:
-    """The bundle with lines, headers and checks stored in catalog tables bucketed and sorted by transaction.
+    """The bundle with lines, headers and checks, or those of ``parts``, in catalog tables bucketed and sorted by transaction.
 
     What is grouped or joined by transaction then isn't shuffled. The tables are named by ``prefix`` and the table and lie
     in ``path`` or where the warehouse puts them; tables of these names are replaced. Choose so many buckets that one fits
@@ -69,8 +74,8 @@ def bucketed(
     large share of the lines: adaptive execution splits those, but no bucket.
     """
     stored = {}
-    for part, key in _BY_TRANSACTION.items():
-        name = f"{prefix}_{TABLE_NAMES[part]}"
+    for part in parts:
+        key, name = _BY_TRANSACTION[part], f"{prefix}_{TABLE_NAMES[part]}"
         writer = getattr(tables, part).repartition(buckets, key).write.format("parquet").mode("overwrite")
         writer = writer.bucketBy(buckets, key).sortBy(key)
         (writer if path is None else writer.option("path", f"{path.rstrip('/')}/{name}")).saveAsTable(name)

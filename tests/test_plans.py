@@ -213,6 +213,30 @@ def test_checks_scan_lines_once(spark, monkeypatch):
     assert _line_scans(monkeypatch, validation, run) == 1
 
 
+def test_results_of_checks_store_no_violations(spark, monkeypatch):
+    t = adapter_tables(spark, FOLDER)
+    names, store = [], validation.staged
+    monkeypatch.setattr(validation, "staged", lambda df, name: names.append(name) or store(df, name))
+    checked = validation.check_ledger(t.details, t.txns, t.accounts, ["b"])
+    assert checked.results.count() == 11 and "violations" not in names
+    before = sorted(map(tuple, checked.results.collect()))
+    assert checked.violations.groupBy().sum("n_rows").first()[0] == sum(r[3] for r in before) and "violations" in names
+
+
+def test_checks_of_the_month_end_book_nothing(spark, monkeypatch):
+    monkeypatch.setattr(month_end, "book", lambda *args: pytest.fail("booked"))
+    assert month_end.month_end(adapter_tables(spark, FOLDER), AS_OF).checks.count() == 11
+
+
+def test_extracts_sum_entries_before_accounts_are_joined(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    t = adapter_tables(spark, FOLDER)
+    for extract in (t.extract_accrual, t.extract_cash):
+        text = plan(extract)
+        above = text[: text.index("lineitem.parquet")]
+        assert "partial_sum" in above and above.rindex("partial_sum") > above.rindex("Join")
+
+
 def test_sql_report_filters_by_its_dates_in_the_scan(spark, settings):
     settings(spark__sql__maxMetadataStringLength="10000")
     create_ap_aging(spark, adapter_tables(spark, FOLDER), "ap_aging_of_test")
