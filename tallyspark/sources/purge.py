@@ -7,7 +7,6 @@ purge that broke off is run again: the files that are done hold none of the rows
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +32,17 @@ def _move_over(spark: SparkSession, new: object, old: object) -> None:
     context.rename(new, old, overwrite)
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that ``df`` doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        names.append(name)
+    return names
+
+
 def holding_files(rows: DataFrame, condition: Column) -> DataFrame:
     """The files of a frame read from files that hold a row for which ``condition`` is true, as ``file``."""
     return rows.filter(condition).select(F.col("_metadata.file_path").alias("file")).distinct()
@@ -50,24 +60,28 @@ def purge_files(spark: SparkSession, path: str, condition: Column) -> int:
     if not names:
         return 0
     aside = f"{path.rstrip('/')}/_purge-{uuid.uuid4().hex}"
-    marks = {hashlib.sha256(name.encode()).hexdigest(): name for name in names}
-    # A file's rows go to one task and hence one new file.
     own = spark.read.schema(rows.schema).parquet(*[_path(spark, n).toString() for n in names])
     kept = own.filter(~F.coalesce(condition, F.lit(False)))
-    mark = "file"
-    while mark in rows.columns:
-        mark += "_"
-    kept = kept.withColumn(mark, F.sha2(F.col("_metadata.file_path"), 256))
-    kept.repartition(len(names), mark).write.partitionBy(mark).parquet(aside)
+    # A file's rows go to a task of their own and hence one new file, part k for file k. They are written as they come,
+    # since neither the task nor the writer sorts them, so memory doesn't grow with the file.
+    file, number = fresh(rows, "file", "number")
+    numbers = spark.createDataFrame(list(zip(names, range(len(names)))), f"{file} string, {number} int")
+    # As many rows as the driver has names.
+    dealt = kept.withColumn(file, F.col("_metadata.file_path")).join(F.broadcast(numbers), file)
+    dealt = dealt.repartitionById(len(names), F.col(number)).select(*[f"`{c}`" for c in rows.columns])
+    dealt.write.option("maxRecordsPerFile", 0).parquet(aside)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     files = hadoop.Path(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for key, name in marks.items():
-        folder = hadoop.Path(f"{aside}/{mark}={key}")
-        if not files.exists(folder):
+    new = [f.getPath() for f in files.listStatus(hadoop.Path(aside)) if f.getPath().getName().startswith("part-")]
+    parts = {int(path.getName().split("-")[1]): path for path in new}
+    for k, name in enumerate(names):
+        if k not in parts:
             # No row is left of the file.
-            rows.limit(0).coalesce(1).write.parquet(folder.toString())
-        (new,) = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-")]
-        _move_over(spark, new, _path(spark, name))
+            folder = f"{aside}/empty-{k}"
+            rows.limit(0).coalesce(1).write.parquet(folder)
+            found = files.listStatus(hadoop.Path(folder))
+            (parts[k],) = [f.getPath() for f in found if f.getPath().getName().startswith("part-")]
+        _move_over(spark, parts[k], _path(spark, name))
     files.delete(hadoop.Path(aside), True)
     return len(names)
 

@@ -1,6 +1,7 @@
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from test_plans import plan
 
@@ -185,6 +186,27 @@ def test_purge_writes_only_the_files_that_hold_the_tag(spark, tmp_path):
     assert rows(spark.read.parquet(path), "file") == [(106,), (3,), (4,), (5,), (8,), (9,)]
 
 
+def test_purge_sorts_no_rows_and_names_may_clash(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    for number in range(12):
+        frame = spark.createDataFrame([("t", number, "f"), ("x", 10 + number, "g")], "LastUpdatedBy string, number int, file string")
+        frame.coalesce(1).write.mode("append").parquet(path)
+    plans, write = [], DataFrameWriter.parquet
+
+    def seen(writer, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        assert not writer._partitioned
+        return write(writer, *args, **kwargs)
+
+    partitioned = DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "_partitioned", False, raising=False)
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda w, *c: setattr(w, "_partitioned", True) or partitioned(w, *c))
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    assert purge_files(spark, path, F.col("LastUpdatedBy") == "t") == 12
+    assert plans and not any("Sort " in p for p in plans)
+    assert rows(spark.read.parquet(path)) == sorted((("x", 10 + n, "g") for n in range(12)), key=repr)
+
+
 def test_a_broken_purge_is_run_again(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "ledger")
     for number in range(4):
