@@ -1,12 +1,17 @@
 """Ledger tables derived from a star schema (parts, suppliers, orders and line items), for trials without a ledger.
 
 Each table is one SQL query in words both Spark and other engines read the same way. Names in braces are other tables.
+On Spark the two trial balances come from the library instead of their queries, which join every entry with its account.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyspark.operators.trial_balance import trial_balance_accrual, trial_balance_cash
 from tallyspark.sources.tables import LedgerTables
 
 BASE_TABLES = ("part", "supplier", "orders", "lineitem")
@@ -153,6 +158,15 @@ VIEWS = {
 }
 
 
+# Fixed value: the day up to which the queries of the trial balances sum.
+_AS_OF = date(2001, 6, 30)
+# Trial balances by operators that sum entries per account before any join: builder and entries.
+_SUMMED = {
+    "tb_accrual": (trial_balance_accrual, "transaction_summary"),
+    "tb_cash": (trial_balance_cash, "transaction_detail_cash"),
+}
+
+
 class StarLedger:
     """The derived tables over the Parquet files ``<folder>/<base table>.parquet``."""
 
@@ -165,6 +179,10 @@ class StarLedger:
         if name not in self._built:
             if name in BASE_TABLES:
                 self._built[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            elif name in _SUMMED:
+                build, entries = _SUMMED[name]
+                summed = build(self.table("account_list"), self.table("account_type_list"), self.table(entries), _AS_OF)
+                self._built[name] = summed.select("AccountID", F.col("Balance").cast("decimal(18,2)").alias("Balance"))
             else:
                 used = [n for n in (*BASE_TABLES, *VIEWS) if f"{{{n}}}" in VIEWS[name]]
                 self._built[name] = self._spark.sql(VIEWS[name], **{n: self.table(n) for n in used})
